@@ -40,6 +40,7 @@ from feedmill.sources.folders import scratch_folder
 from feedmill.sources.log import append_log, create_log, publish_changes, read_log, stream_log
 from feedmill.sources.ops import stream_files
 from feedmill.streaming.feed import stream_to_log
+from feedmill.tables import small_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,7 +130,7 @@ def _ops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _settings(spark: SparkSession, *rows: tuple) -> DataFrame:
-    return spark.createDataFrame(list(rows), SETTINGS_SCHEMA)
+    return small_table(spark, rows, SETTINGS_SCHEMA)
 
 
 CAPTURE_LIST = "app_c.*, app_pur*, app_view, *bad, app_s{1,2}ignup"
@@ -253,7 +254,7 @@ def event_types(spark, sf_dir):
 
 @_query(
     f"""with {_OPS} select seq, case when op = 'INDEX' then source end as row_data,
-  strftime(op_ts, '%Y-%m-%dT%H:%M:%S%g') as create_time, epoch_ms(op_ts) as epoch_ms from ops"""
+  strftime(op_ts, '%Y-%m-%dT%H:%M:%S%g') as create_time, epoch_us(op_ts) // 1000 as epoch_ms from ops"""
 )
 def record_fields(spark, sf_dir):
     ops = _ops(spark, sf_dir)

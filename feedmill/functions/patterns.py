@@ -9,8 +9,10 @@ from functools import reduce
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedmill.functions.text import is_blank, text_is_blank, trim_controls, trim_controls_col
+from feedmill.tables import small_table
 
 _PLAIN = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-")
 
@@ -45,7 +47,7 @@ def illegal_patterns(spark: SparkSession, patterns: list[str]) -> set[str]:
     doubtful = [p for p in dict.fromkeys(patterns) if p != "*" and not _PLAIN.issuperset(p)]
     if not doubtful:
         return set()
-    probe = spark.createDataFrame([(p,) for p in doubtful], "p string")
+    probe = small_table(spark, [(p,) for p in doubtful], T.StructType().add("p", "string"))
     refused = probe.where(full_match(F.lit(""), F.col("p")).isNull()).collect()
     return {row.p for row in refused}
 

@@ -39,20 +39,19 @@ def _check(policy: str) -> None:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
 
 
-def _flags(settings: DataFrame) -> DataFrame:
-    return settings.where((F.col("scope") == "index") & (F.col("key") == CDC_ENABLED_KEY))
+def _is_flag() -> Column:
+    return (F.col("scope") == "index") & (F.col("key") == CDC_ENABLED_KEY)
 
 
-def _lists(settings: DataFrame) -> DataFrame:
-    return settings.where((F.col("scope") == "node") & (F.col("key") == PATTERN_LIST_KEY))
+def _is_list() -> Column:
+    return (F.col("scope") == "node") & (F.col("key") == PATTERN_LIST_KEY)
 
 
 def _inline(settings: DataFrame, policy: str, limit: int) -> _Inline | None:
     """The settings that matter, if there are no more than `limit` of them."""
-    rows = _flags(settings).select("seq", "target", flag(F.col("value")).alias("on"), "value")
-    if policy == "v8":
-        lists = _lists(settings).select("seq", F.lit(None).alias("target"), F.lit(None).alias("on"), "value")
-        rows = rows.unionByName(lists)
+    wanted = _is_flag() | _is_list() if policy == "v8" else _is_flag()
+    name, on = F.when(_is_flag(), F.col("target")), F.when(_is_flag(), flag(F.col("value")))
+    rows = settings.where(wanted).select("seq", name.alias("target"), on.alias("on"), "value")
     found = rows.limit(limit + 1).collect()
     if len(found) > limit:
         return None
@@ -65,6 +64,14 @@ def _inline(settings: DataFrame, policy: str, limit: int) -> _Inline | None:
     return short
 
 
+def _latest_inline(settings: DataFrame, policy: str, limit: int) -> _Inline | None:
+    """`_inline` where only the latest values matter, of which there may be few in a long history."""
+    whole = _inline(settings, policy, limit)
+    if whole is not None or limit == 0:
+        return whole
+    return _inline(latest_settings(settings).withColumn("seq", F.lit(0)), policy, limit)
+
+
 def _since(steps: list[tuple[int, Column]], otherwise: Column) -> Column:
     """The value of the first step whose seq has been reached."""
     chain = None
@@ -100,7 +107,7 @@ def gate(
 ) -> DataFrame:
     """Rows of tables that are captured under the latest settings."""
     _check(policy)
-    short = _inline(latest_settings(settings).withColumn("seq", F.lit(0)), policy, inline_rows)
+    short = _latest_inline(settings, policy, inline_rows)
     if short is not None:
         return df.where(_static_predicate(df.sparkSession, short, policy))
     return capture_enabled(df, settings, policy, inline_rows).where("captured").drop("captured")
@@ -116,15 +123,15 @@ def capture_enabled(
     """
     _check(policy)
     spark = df.sparkSession
-    latest = latest_settings(settings).withColumn("seq", F.lit(0))
-    short = _inline(latest, policy, inline_rows)
+    short = _latest_inline(settings, policy, inline_rows)
     if short is not None:
         captured = _static_predicate(spark, short, policy)
         return df.withColumn("captured", F.coalesce(captured, F.lit(False)))
-    own = _flags(latest).select(F.col("target").alias("idx_name"), flag(F.col("value")).alias("_own"))
+    latest = latest_settings(settings)
+    own = latest.where(_is_flag()).select(F.col("target").alias("idx_name"), flag(F.col("value")).alias("_own"))
     listed = F.lit(False)
     if policy == "v8":
-        node = _lists(latest).first()
+        node = latest.where(_is_list()).first()
         listed = name_matches(spark, F.col("idx_name"), node.value if node else None)
     joined = df.join(own, "idx_name", "left")
     return joined.select(*df.columns, F.coalesce("_own", listed, F.lit(False)).alias("captured"))
@@ -151,12 +158,12 @@ def settings_asof(
         return df.withColumns({"index_setting": _by_name(own, none), "node_list": text})
 
     layout = layout or order_layout(df)
-    flags = _flags(settings).select(F.col("target").alias("idx_name"), "seq", "value")
+    flags = settings.where(_is_flag()).select(F.col("target").alias("idx_name"), "seq", "value")
     out = _in_force(df, flags, ["idx_name"], "_own", layout)
     out = out.withColumn("index_setting", flag(F.col("_own"))).drop("_own")
     if policy == "v7":
         return out.withColumn("node_list", F.lit(None).cast("string"))
-    return _in_force(out, _lists(settings).select("seq", "value"), [], "node_list", layout)
+    return _in_force(out, settings.where(_is_list()).select("seq", "value"), [], "node_list", layout)
 
 
 def _in_force(

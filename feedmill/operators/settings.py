@@ -4,8 +4,9 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from feedmill.functions.text import is_blank, key_suffix
+from feedmill.functions.text import key_suffix, text_is_blank
 from feedmill.schemas import (
     CDC_ENABLED_KEY,
     MAX_SCN_KEY,
@@ -13,6 +14,7 @@ from feedmill.schemas import (
     PATTERN_LIST_KEY,
     SETTINGS_SCHEMA,
 )
+from feedmill.tables import empty_table, small_table
 
 TABLE_KEYS = (MAX_SCN_KEY, CDC_ENABLED_KEY)
 NODE_KEYS = (PATTERN_LIST_KEY,)
@@ -24,11 +26,6 @@ def _text(value: object) -> str | None:
     return None if value is None else str(value)
 
 
-def _pairs(spark: SparkSession, settings: Mapping[str, object]) -> DataFrame:
-    rows = [(key, _text(value)) for key, value in settings.items()]
-    return spark.createDataFrame(rows, "key string, value string")
-
-
 def _checked(settings: Mapping[str, object]) -> Mapping[str, object]:
     enabled, mark = settings.get(CDC_ENABLED_KEY), settings.get(MAX_SCN_KEY)
     if enabled is not None and not isinstance(enabled, bool):
@@ -67,22 +64,13 @@ def upsert_index_settings(
 
 def upsert_node_settings(history: DataFrame, settings: Mapping[str, object], seq: int) -> DataFrame:
     """Set node settings; blank values leave the old value, unknown keys are ignored."""
-    added = (
-        _pairs(history.sparkSession, settings)
-        .where(F.col("key").isin(*NODE_KEYS) & ~is_blank(F.col("value")))
-        .select(
-            F.lit(seq).cast("long").alias("seq"),
-            F.lit("node").alias("scope"),
-            F.lit(None).cast("string").alias("target"),
-            "key",
-            "value",
-        )
-    )
-    return history.unionByName(added)
+    known = {k: _text(v) for k, v in settings.items() if k in NODE_KEYS}
+    rows = [(seq, "node", None, k, v) for k, v in known.items() if not text_is_blank(v)]
+    return history.unionByName(small_table(history.sparkSession, rows, SETTINGS_SCHEMA)) if rows else history
 
 
 def no_settings(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], SETTINGS_SCHEMA)
+    return empty_table(spark, SETTINGS_SCHEMA)
 
 
 def latest_settings(history: DataFrame) -> DataFrame:
@@ -111,6 +99,6 @@ def node_settings(history: DataFrame, keys: Iterable[str] | None = None) -> Data
     below = F.col("key").startswith(f"{NODE_PREFIX}.")
     found = latest_settings(history.where((F.col("scope") == "node") & below)).select("key", "value")
     if keys is not None:
-        wanted = history.sparkSession.createDataFrame([(k,) for k in keys], "key string")
+        wanted = small_table(history.sparkSession, [(k,) for k in keys], T.StructType().add("key", "string"))
         found = wanted.join(found, "key", "left")
     return found.select("key", key_suffix(F.col("key")).alias("name"), "value")

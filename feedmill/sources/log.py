@@ -17,6 +17,7 @@ from feedmill.operators.scn import continued_hwm, next_hwm
 from feedmill.operators.spread import order_layout
 from feedmill.plans.feed import FeedOptions, feed_parts, number_parts, part_counts
 from feedmill.schemas import CHANGE_COLUMNS, LOG_SCHEMA, SCN_STATE_SCHEMA, SCN_STEP
+from feedmill.tables import empty_table, small_table
 
 # Reservations kept. Only the newest is needed to go on and a stream repeats
 # none but its last batch; the rest let batch runs be repeated safely.
@@ -25,7 +26,7 @@ STATE_SLOTS = 64
 
 def create_log(spark: SparkSession, path: str) -> None:
     """Create the log if it is not there; a log that is there is left alone."""
-    empty = spark.createDataFrame([], LOG_SCHEMA)
+    empty = empty_table(spark, LOG_SCHEMA)
     empty.write.mode("ignore").partitionBy("batch_id").parquet(path)
 
 
@@ -72,7 +73,7 @@ class Reservation:
 def scn_state(spark: SparkSession, path: str) -> DataFrame:
     """The reservations kept, one row per batch."""
     folder = f"{path.rstrip('/')}/_scn_state"
-    empty = spark.createDataFrame([], SCN_STATE_SCHEMA)
+    empty = empty_table(spark, SCN_STATE_SCHEMA)
     empty.withColumn("slot", F.lit(0)).write.mode("ignore").partitionBy("slot").parquet(folder)
     return spark.read.schema(SCN_STATE_SCHEMA).parquet(folder)
 
@@ -111,9 +112,9 @@ def reserve_scn(
         hwm = continued_hwm(last.hwm, start, count, step)
     else:
         batch_id, start, hwm = last.batch_id + 1, last.hwm, next_hwm(last.hwm, count, step)
-    added = spark.createDataFrame([(batch_id, start, count, hwm, source, epoch, run)], SCN_STATE_SCHEMA)
+    added = small_table(spark, [(batch_id, start, count, hwm, source, epoch, run)], SCN_STATE_SCHEMA)
     slot = f"{path.rstrip('/')}/_scn_state/slot={batch_id % STATE_SLOTS}"
-    added.coalesce(1).write.mode("overwrite").parquet(slot)
+    added.write.mode("overwrite").parquet(slot)
     return Reservation(batch_id, start, count, hwm)
 
 
