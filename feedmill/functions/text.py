@@ -16,12 +16,12 @@ WHITESPACE = (
     0x205F,
     0x3000,
 )
-_BLANK = r"\A[" + "".join(f"\\x{{{c:x}}}" for c in WHITESPACE) + r"]*\z"
-_TRIMMED = "".join(map(chr, range(0x21)))
+_WHITESPACE = "".join(map(chr, WHITESPACE))
+_CONTROLS = "".join(map(chr, range(0x21)))
 
 
 def is_blank(col: Column) -> Column:
-    return col.isNull() | col.rlike(_BLANK)
+    return col.isNull() | (F.btrim(col, F.lit(_WHITESPACE)) == "")
 
 
 def text_is_blank(text: str | None) -> bool:
@@ -30,11 +30,11 @@ def text_is_blank(text: str | None) -> bool:
 
 def trim_controls(text: str) -> str:
     """Cut characters up to U+0020 from both ends."""
-    return text.strip(_TRIMMED)
+    return text.strip(_CONTROLS)
 
 
 def trim_controls_col(col: Column) -> Column:
-    return F.regexp_replace(col, r"\A[\x00-\x20]+|[\x00-\x20]+\z", "")
+    return F.btrim(col, F.lit(_CONTROLS))
 
 
 def key_suffix(col: Column) -> Column:

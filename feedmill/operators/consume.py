@@ -38,7 +38,7 @@ def scn_duplicates(log: DataFrame) -> DataFrame:
 def scn_gaps(log: DataFrame, layout: OrderLayout | None = None) -> DataFrame:
     """Runs of SCNs that stand on no record, between the first and the last one."""
     placed = (layout or order_layout(log, "scn")).add_to(log.select("scn").distinct())
-    paired = previous_value(placed, [], "scn", "scn", "before", BUCKET)
+    paired = previous_value(placed, [], "scn", F.col("scn"), "before", BUCKET)
     gap = paired.where(F.col("scn") - F.col("before") > 1)
     first, last = F.col("before") + 1, F.col("scn") - 1
     return gap.select(

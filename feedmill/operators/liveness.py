@@ -7,7 +7,6 @@ from feedmill.functions.events import event_code
 from feedmill.operators.filters import found_deletes
 from feedmill.operators.spread import (
     BUCKET,
-    TASK_ROWS,
     OrderLayout,
     hot_keys,
     order_layout,
@@ -21,7 +20,12 @@ KEY = ["idx_name", "pk"]
 MARK = "MARK"
 MARK_SEQ = -(2**63)
 
-HOT_ROWS = 4 * TASK_ROWS
+# Hash of the key. Listed first among the sort columns it settles most
+# comparisons, which the names, often alike in their first letters, do not.
+_HASH = "_hash"
+
+# A key with more ops than this is split over several tasks.
+HOT_ROWS = 4_000_000
 
 
 def has_flags(df: DataFrame) -> bool:
@@ -38,13 +42,12 @@ def _hot_bucket(df: DataFrame, layout: OrderLayout | None, hot_rows: int | None)
     """Add the bucket that splits hot keys; it stays NULL for all others."""
     if layout is None:
         layout = order_layout(df.where(F.col("op") != MARK))
-    hot = hot_keys(df, KEY, HOT_ROWS if hot_rows is None else hot_rows, layout.rows)
+    hot = hot_keys(df, _HASH, HOT_ROWS if hot_rows is None else hot_rows, layout.rows)
     if not hot:
         return df, False
     placed = layout.add_to(df)
     bucket = F.when(F.col("op") == MARK, -1).otherwise(F.col(BUCKET))
-    is_hot = F.xxhash64(*KEY).isin(hot)
-    return placed.withColumn(BUCKET, F.when(is_hot, bucket)), True
+    return placed.withColumn(BUCKET, F.when(F.col(_HASH).isin(hot), bucket)), True
 
 
 def with_liveness(
@@ -64,14 +67,16 @@ def with_liveness(
     if has_flags(applied):
         return applied
     rows = applied if initial_keys is None else live_marks(applied, initial_keys)
-    placed, split = _hot_bucket(rows, layout, hot_rows)
-    traced = previous_value(placed, KEY, "seq", "op", "_before", BUCKET if split else None)
-    was_live = F.col("_before").isNotNull() & (F.col("_before") != "DELETE")
+    placed, split = _hot_bucket(rows.withColumn(_HASH, F.xxhash64(*KEY)), layout, hot_rows)
+    key = [_HASH, *KEY]
+    live_after = F.col("op") != "DELETE"
+    traced = previous_value(placed, key, "seq", live_after, "_before", BUCKET if split else None)
+    was_live = F.coalesce("_before", F.lit(False))
     return (
         traced.where(F.col("op") != MARK)
         .withColumn("created", (F.col("op") == "INDEX") & ~was_live)
         .withColumn("found", (F.col("op") == "DELETE") & was_live)
-        .drop("_before", BUCKET)
+        .drop("_before", _HASH, BUCKET)
     )
 
 

@@ -13,11 +13,38 @@ def bucket_counts(df: DataFrame, layout: OrderLayout) -> DataFrame:
     return layout.add_to(df).groupBy(BUCKET).agg(F.count("*").alias("_n"))
 
 
+def _place(df: DataFrame, layout: OrderLayout) -> DataFrame:
+    """Each bucket in the partition of its own number."""
+    placed = layout.add_to(df).where(F.col(BUCKET).isNotNull())
+    return placed.repartitionById(layout.n_buckets, BUCKET)
+
+
+def _label_counts(labels: DataFrame, layout: OrderLayout) -> DataFrame:
+    """`bucket_counts` taken behind the exchange of the labels.
+
+    The test that is always true asks for both columns of the labels, so that
+    this and the numbering ask for the same exchange and Spark runs it once.
+    """
+    present = F.col("event_type").isNotNull() & (F.col("seq") >= layout.low)
+    return _place(labels, layout).groupBy(BUCKET).agg(F.count_if(present).alias("_n"))
+
+
 def _offsets(counts: DataFrame) -> DataFrame:
     before = W.orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)
     return counts.select(BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
 
 
+def _numbered(
+    df: DataFrame, order_col: str, start: int, layout: OrderLayout, counts: DataFrame | None
+) -> DataFrame:
+    placed = _place(df, layout)
+    within = W.partitionBy(BUCKET).orderBy(order_col)
+    offsets = _offsets(bucket_counts(df, layout) if counts is None else counts)
+    numbered = placed.withColumn("_rn", F.row_number().over(within)).join(F.broadcast(offsets), BUCKET)
+    scn = F.col("_offset") + F.col("_rn") + F.lit(start)
+    return numbered.withColumn("scn", scn.cast("long"))
+
+
 def assign_scn(
     df: DataFrame,
     start: int = 0,
@@ -33,13 +60,7 @@ def assign_scn(
     files written from it can be skipped by their smallest and largest `scn`.
     """
     layout = layout or order_layout(df, order_col)
-    offsets = _offsets(bucket_counts(df, layout) if counts is None else counts)
-    within = W.partitionBy(BUCKET).orderBy(order_col)
-    placed = layout.add_to(df).repartitionById(layout.n_buckets, BUCKET)
-    numbered = placed.withColumn("_rn", F.row_number().over(within))
-    joined = numbered.join(F.broadcast(offsets), BUCKET)
-    scn = F.col("_offset") + F.col("_rn") + F.lit(start)
-    return joined.select(scn.cast("long").alias("scn"), *df.columns)
+    return _numbered(df, order_col, start, layout, counts).select("scn", *df.columns)
 
 
 def number_labelled(
@@ -52,28 +73,15 @@ def number_labelled(
     """`assign_scn` for rows whose labels were worked out apart from them.
 
     `labels` (`seq`, `event_type`) says which rows of `payload` are numbered.
-    Both are sent to the bucket of their `seq`, where a label stands directly
-    ahead of its row; the wide rows are shuffled this one time only.
+    Both go to the partition of their bucket and are merged there on `seq`, so
+    the wide rows are shuffled this one time only and no window buffers them.
     """
-    offsets = _offsets(bucket_counts(labels, layout) if counts is None else counts)
-    heads = labels.select("seq", "event_type", F.lit(0).alias("_kind"))
-    bodies = payload.withColumns({"_kind": F.lit(1), "event_type": F.lit(None).cast("string")})
-    both = layout.add_to(bodies.unionByName(heads, allowMissingColumns=True))
-    placed = both.repartitionById(layout.n_buckets, BUCKET)
-    order = W.partitionBy(BUCKET).orderBy("seq", "_kind")
-    numbered = placed.withColumns(
-        {
-            "_head": F.lag(F.struct("seq", "event_type")).over(order),
-            "_rn": F.count("event_type").over(order.rowsBetween(W.unboundedPreceding, 0)),
-        }
-    )
-    kept = numbered.where((F.col("_kind") == 1) & (F.col("_head.seq") == F.col("seq")))
-    kept = kept.where(F.col("_head.event_type").isNotNull())
-    joined = kept.join(F.broadcast(offsets), BUCKET)
-    scn = F.col("_offset") + F.col("_rn") + F.lit(start)
-    return joined.select(
-        scn.cast("long").alias("scn"), F.col("_head.event_type").alias("event_type"), *payload.columns
-    )
+    known = labels.where(F.col("seq").isNotNull() & F.col("event_type").isNotNull())
+    counts = _label_counts(known, layout) if counts is None else counts
+    heads = _numbered(known, "seq", start, layout, counts).select(BUCKET, "seq", "event_type", "scn")
+    bodies = _place(payload, layout)
+    joined = bodies.join(heads.hint("merge"), [BUCKET, "seq"])
+    return joined.select("scn", "event_type", *payload.columns)
 
 
 def next_hwm(hwm: int | Column, n: int | Column, step: int | Column = SCN_STEP) -> int | Column:

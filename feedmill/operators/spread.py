@@ -8,14 +8,14 @@ the buckets, and bring what one bucket owes the next as one small row each.
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
 
 # Rows one task should take at most, and the least worth a task of its own.
-TASK_ROWS = 1_000_000
+TASK_ROWS = 250_000
 MIN_TASK_ROWS = 16_384
 # Bound of every per-bucket table.
 MAX_BUCKETS = 100_000
@@ -76,7 +76,7 @@ def order_layout(df: DataFrame, order_col: str = "seq", task_rows: int | None =
     return OrderLayout(order_col, rows, low, 0, len(splits) - 1, splits)
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int, rows: int) -> list[int]:
+def hot_keys(df: DataFrame, key_hash: str, hot_rows: int, rows: int) -> list[int]:
     """Hashes of the keys with more than `hot_rows` rows, found with a sketch.
 
     The list decides only how work is divided, never a result. It is bounded by
@@ -85,9 +85,9 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int, rows: int) -> list[i
     """
     if rows <= hot_rows:
         return []
-    sketch = df.select(F.xxhash64(*keys).alias("h"))
     found = (
-        sketch.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("g"))
+        df.select(F.col(key_hash).alias("h"))
+        .groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("g"))
         .agg(F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("s"))
         .agg(F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"))
         .select(F.explode(F.expr(f"approx_top_k_estimate(s, {MAX_HOT_KEYS})")).alias("e"))
@@ -101,7 +101,7 @@ def previous_value(
     df: DataFrame,
     keys: list[str],
     order_col: str,
-    value: str,
+    value: Column,
     out: str,
     bucket: str | None = None,
 ) -> DataFrame:
@@ -110,8 +110,9 @@ def previous_value(
     With `bucket`, a key's rows may be spread over many buckets: the last value
     of each bucket is worked out with map-side aggregation, moved on to the
     key's next bucket, and used for the first row there. Rows whose bucket is
-    NULL stay together. `value`, the order and the keys are never NULL. The join
-    follows the partitioning of the window, so the rows are shuffled once.
+    NULL stay together. `value`, the order and the keys are never NULL, and
+    `value` is best a number or boolean, which hash aggregation can hold. The
+    join follows the partitioning of the window, so the rows are shuffled once.
     """
     if bucket is None:
         within = W.partitionBy(*keys).orderBy(order_col)

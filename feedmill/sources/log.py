@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -141,6 +142,9 @@ def publish_changes(
     create_log(spark, path)
     layout = order_layout(ops)
     records, labels = feed_parts(ops, settings, options, layout, initial_keys)
+    if labels is not None:
+        # Needed to reserve and again to write; nine bytes a row or so.
+        labels = labels.persist(StorageLevel.MEMORY_AND_DISK)
     counts = part_counts(records, labels, layout).persist()
     try:
         total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)))
@@ -153,3 +157,5 @@ def publish_changes(
         return reserved
     finally:
         counts.unpersist()
+        if labels is not None:
+            labels.unpersist()
