@@ -89,6 +89,9 @@ def hot_keys(df: DataFrame, key_hash: str, hot_rows: int, rows: int) -> list[int
         df.select(F.col(key_hash).alias("h"))
         .groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("g"))
         .agg(F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("s"))
+        # Grouped by one value rather than none: the combining function cannot
+        # stand a partition without rows.
+        .groupBy(F.expr(f"g div {SKETCH_GROUPS}"))
         .agg(F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"))
         .select(F.explode(F.expr(f"approx_top_k_estimate(s, {MAX_HOT_KEYS})")).alias("e"))
         .where(F.col("e.count") > hot_rows)
