@@ -15,10 +15,10 @@ from pyspark.sql import SparkSession
 from feedmill import catalog
 
 HEADLINE = [
-    "applied",
+    "applied_ops",
     "classified",
     "gate_v8",
-    "feed",
+    "change_feed",
     "feed_v7",
     "feed_dynamic",
     "feed_long_history",
@@ -30,7 +30,7 @@ HEADLINE = [
     "log_roundtrip",
     "tail",
     "current_state",
-    "table_diff",
+    "snapshot_diff",
     "scn_gaps",
     "payload_decoded",
     "volume_hourly",
@@ -76,7 +76,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
-                "feed_ops_per_second": round(n_ops / times["feed"]),
+                "feed_ops_per_second": round(n_ops / times["change_feed"]),
                 "cpus": int(cpus),
             }
         )

@@ -48,10 +48,11 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-def _query(sql: str) -> Callable[[Query], Query]:
+def _query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
-        ORACLE[fn.__name__] = sql
+        key = name or fn.__name__
+        QUERIES[key] = fn
+        ORACLE[key] = sql
         return fn
 
     return register
@@ -210,7 +211,7 @@ _COLS = ", ".join(CHANGE_COLUMNS)
 # --- filters, liveness, classification --------------------------------------
 
 
-@_query(f"with {_OPS} select * from applied where idx_name <> 'change_log'")
+@_query(f"with {_OPS} select * from applied where idx_name <> 'change_log'", "applied_ops")
 def applied(spark, sf_dir):
     return exclude_self(applied_ops(_ops(spark, sf_dir)))
 
@@ -314,7 +315,7 @@ def gate_quirks(spark, sf_dir):
 # --- feeds ------------------------------------------------------------------
 
 
-@_query(f"with {_FEED} select {_COLS} from feed")
+@_query(f"with {_FEED} select {_COLS} from feed", "change_feed")
 def feed(spark, sf_dir):
     return _feed(spark, sf_dir)
 
@@ -644,7 +645,8 @@ new as (
     + case when o_orderkey % 10 = 2 then 100 else 0 end as cents from orders where o_orderkey % 10 <> 1)
 select o_orderkey, case when o.cents is null then 'I' when n.cents is null then 'D' else 'U' end as event_type,
   coalesce(n.cents, o.cents) as cents
-from old o full join new n using (o_orderkey) where o.cents is distinct from n.cents"""
+from old o full join new n using (o_orderkey) where o.cents is distinct from n.cents""",
+    "snapshot_diff",
 )
 def table_diff(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders")

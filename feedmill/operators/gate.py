@@ -175,10 +175,11 @@ def _in_force(
     a bucket carried over, so that a big table is spread over many tasks.
     """
     rows = df.withColumns({"_change": F.lit(None).cast("string"), "_kind": F.lit(1)})
-    events = changes.withColumn("_change", F.coalesce("value", F.lit(_UNSET))).drop("value")
+    events = changes.where(F.col("seq") <= layout.high)
+    events = events.withColumn("_change", F.coalesce("value", F.lit(_UNSET))).drop("value")
     both = rows.unionByName(events.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
-    bounded = F.greatest(F.lit(-1), F.least(F.lit(layout.n_buckets), F.col(BUCKET)))
-    both = layout.add_to(both).withColumn(BUCKET, bounded)
+    earlier = F.col("seq") < layout.low
+    both = layout.add_to(both).withColumn(BUCKET, F.when(earlier, -1).otherwise(F.col(BUCKET)))
 
     within = W.partitionBy(*keys, BUCKET).orderBy("seq", "_kind")
     near = F.last("_change", ignorenulls=True).over(within.rowsBetween(W.unboundedPreceding, 0))
@@ -190,7 +191,9 @@ def _in_force(
         .withColumn("_far", F.last("_last", ignorenulls=True).over(before))
         .drop("_last")
     )
-    joined = both.withColumn("_near", near).join(carried, [*keys, BUCKET], "left")
+    # What was set before the first row reaches the rows by being carried.
+    during = both.where(F.col(BUCKET) >= 0)
+    joined = during.withColumn("_near", near).join(carried, [*keys, BUCKET], "left")
     value = F.nullif(F.coalesce("_near", "_far"), F.lit(_UNSET))
     return joined.where(F.col("_kind") == 1).select(*df.columns, value.alias(out))
 

@@ -9,6 +9,7 @@ from feedmill.operators.spread import (
     BUCKET,
     OrderLayout,
     hot_keys,
+    key_partitions,
     order_layout,
     previous_value,
 )
@@ -38,10 +39,8 @@ def live_marks(ops: DataFrame, live_keys: DataFrame) -> DataFrame:
     return ops.unionByName(marks, allowMissingColumns=True)
 
 
-def _hot_bucket(df: DataFrame, layout: OrderLayout | None, hot_rows: int | None) -> tuple[DataFrame, bool]:
+def _hot_bucket(df: DataFrame, layout: OrderLayout, hot_rows: int | None) -> tuple[DataFrame, bool]:
     """Add the bucket that splits hot keys; it stays NULL for all others."""
-    if layout is None:
-        layout = order_layout(df.where(F.col("op") != MARK))
     hot = hot_keys(df, _HASH, HOT_ROWS if hot_rows is None else hot_rows, layout.rows)
     if not hot:
         return df, False
@@ -67,10 +66,12 @@ def with_liveness(
     if has_flags(applied):
         return applied
     rows = applied if initial_keys is None else live_marks(applied, initial_keys)
+    layout = layout or order_layout(applied)
     placed, split = _hot_bucket(rows.withColumn(_HASH, F.xxhash64(*KEY)), layout, hot_rows)
     key = [_HASH, *KEY]
     live_after = F.col("op") != "DELETE"
-    traced = previous_value(placed, key, "seq", live_after, "_before", BUCKET if split else None)
+    bucket, partitions = BUCKET if split else None, key_partitions(applied.sparkSession, layout.rows)
+    traced = previous_value(placed, key, "seq", live_after, "_before", bucket, partitions)
     was_live = F.coalesce("_before", F.lit(False))
     return (
         traced.where(F.col("op") != MARK)

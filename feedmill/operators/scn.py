@@ -40,9 +40,12 @@ def _numbered(
     placed = _place(df, layout)
     within = W.partitionBy(BUCKET).orderBy(order_col)
     offsets = _offsets(bucket_counts(df, layout) if counts is None else counts)
-    numbered = placed.withColumn("_rn", F.row_number().over(within)).join(F.broadcast(offsets), BUCKET)
+    numbered = placed.withColumns(
+        {"_rn": F.row_number().over(within), "_twin": F.lag(order_col).over(within)}
+    ).join(F.broadcast(offsets), BUCKET)
     scn = F.col("_offset") + F.col("_rn") + F.lit(start)
-    return numbered.withColumn("scn", scn.cast("long"))
+    twice = F.raise_error(F.concat(F.lit(f"{order_col} is not unique: "), F.col(order_col).cast("string")))
+    return numbered.withColumn("scn", F.when(F.col("_twin") == F.col(order_col), twice).otherwise(scn).cast("long"))
 
 
 def assign_scn(
@@ -54,6 +57,7 @@ def assign_scn(
 ) -> DataFrame:
     """Number the rows `start + 1`, `start + 2`, ... in the order of `order_col`.
 
+    A value of `order_col` that comes twice fails the job.
     Each bucket goes to the partition of its own number and is numbered there;
     the rows before it come from the counts, which are broadcast since there is
     one per bucket. The result is range-partitioned by `scn` and sorted, so

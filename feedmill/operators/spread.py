@@ -8,7 +8,7 @@ the buckets, and bring what one bucket owes the next as one small row each.
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -17,6 +17,8 @@ BUCKET = "_bucket"
 # Rows one task should take at most, and the least worth a task of its own.
 TASK_ROWS = 250_000
 MIN_TASK_ROWS = 16_384
+# Narrow rows per partition where rows are brought together by key.
+KEY_TASK_ROWS = 4_000_000
 # Bound of every per-bucket table.
 MAX_BUCKETS = 100_000
 # Bound of the list of hot keys, and the entries its sketch keeps per group.
@@ -32,6 +34,7 @@ class OrderLayout:
     order_col: str
     rows: int
     low: int
+    high: int
     width: int
     n_buckets: int
     splits: tuple[float, ...] = field(default=(), repr=False)
@@ -58,7 +61,7 @@ def order_layout(df: DataFrame, order_col: str = "seq", task_rows: int | None =
     value = F.col(order_col)
     low, high, rows = df.agg(F.min(value), F.max(value), F.count(value)).first()
     if not rows:
-        return OrderLayout(order_col, 0, 0, 1, 1)
+        return OrderLayout(order_col, 0, 0, -1, 1, 1)
     if task_rows is None:
         fair = -(-rows // spark.sparkContext.defaultParallelism)
         task_rows = max(MIN_TASK_ROWS, min(TASK_ROWS, fair))
@@ -67,13 +70,13 @@ def order_layout(df: DataFrame, order_col: str = "seq", task_rows: int | None =
     span = high - low + 1
     if span <= 4 * rows:
         width = max(task_rows, -(-span // MAX_BUCKETS))
-        return OrderLayout(order_col, rows, low, width, -(-span // width))
+        return OrderLayout(order_col, rows, low, high, width, -(-span // width))
     if buckets == 1:
-        return OrderLayout(order_col, rows, low, span, 1)
+        return OrderLayout(order_col, rows, low, high, span, 1)
     shares = [i / buckets for i in range(1, buckets)]
     inner = df.approxQuantile(order_col, shares, 1 / (4 * buckets))
     splits = (float("-inf"), *sorted(set(inner)), float("inf"))
-    return OrderLayout(order_col, rows, low, 0, len(splits) - 1, splits)
+    return OrderLayout(order_col, rows, low, high, 0, len(splits) - 1, splits)
 
 
 def hot_keys(df: DataFrame, key_hash: str, hot_rows: int, rows: int) -> list[int]:
@@ -100,6 +103,12 @@ def hot_keys(df: DataFrame, key_hash: str, hot_rows: int, rows: int) -> list[int
     return [row.item for row in found.collect()]
 
 
+def key_partitions(spark: SparkSession, rows: int) -> int | None:
+    """How many partitions a shuffle by key needs, where the session's number is too low."""
+    needed = -(-rows // KEY_TASK_ROWS)
+    return needed if needed > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def previous_value(
     df: DataFrame,
     keys: list[str],
@@ -107,6 +116,7 @@ def previous_value(
     value: Column,
     out: str,
     bucket: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """`value` of the row before, per key, in the order of `order_col`.
 
@@ -117,12 +127,13 @@ def previous_value(
     `value` is best a number or boolean, which hash aggregation can hold. The
     join follows the partitioning of the window, so the rows are shuffled once.
     """
+    together = keys if bucket is None else [*keys, bucket]
+    within = W.partitionBy(*together).orderBy(order_col)
+    placed = df if partitions is None else df.repartition(partitions, *together)
     if bucket is None:
-        within = W.partitionBy(*keys).orderBy(order_col)
-        return df.withColumn(out, F.lag(value).over(within))
+        return placed.withColumn(out, F.lag(value).over(within))
 
-    within = W.partitionBy(*keys, bucket).orderBy(order_col)
-    spread = df.withColumn("_near", F.lag(value).over(within))
+    spread = placed.withColumn("_near", F.lag(value).over(within))
     across = W.partitionBy(*keys).orderBy(bucket) if keys else W.orderBy(bucket)
     carried = (
         df.where(F.col(bucket).isNotNull())
@@ -132,5 +143,5 @@ def previous_value(
         .where(F.col("_far").isNotNull())
         .drop("_last")
     )
-    joined = spread.join(carried, [*keys, bucket], "left")
+    joined = spread.join(carried, together, "left")
     return joined.select(*df.columns, F.coalesce("_near", "_far").alias(out))

@@ -140,6 +140,10 @@ def test_no_settings_capture_nothing(spark):
 
 
 HISTORY = [
+    (-9, "index", "app_b", CDC_ENABLED_KEY, "true"),
+    (-7, "index", "app_b", CDC_ENABLED_KEY, None),
+    (-5, "node", None, PATTERN_LIST_KEY, "app_.*"),
+    (99, "index", "app_b", CDC_ENABLED_KEY, "false"),
     (5, "index", "app_a", CDC_ENABLED_KEY, "true"),
     (10, "index", "app_a", CDC_ENABLED_KEY, "false"),
     (15, "index", "app_a", CDC_ENABLED_KEY, None),
@@ -199,6 +203,12 @@ def test_feed_of_the_events(spark, sf_dir):
     assert feed.where("event_type = 'D' and row_data is not null").isEmpty()
 
 
+def test_an_op_that_comes_twice_fails(spark):
+    ops = ops_table(spark, [{"seq": 1}, {"seq": 1}, {"seq": 2}])
+    with pytest.raises(PySparkException, match="seq is not unique"):
+        change_feed(ops, all_tables(spark)).collect()
+
+
 @pytest.mark.parametrize("flags", [False, True])
 @pytest.mark.parametrize("hot_rows", [None, 20])
 def test_feed_in_many_buckets(spark, flags, hot_rows):

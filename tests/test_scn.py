@@ -1,10 +1,11 @@
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from feedmill.operators.scn import assign_scn, assign_scn_blocks, continued_hwm, next_hwm
-from feedmill.operators.spread import MAX_BUCKETS, hot_keys, order_layout, previous_value
+from feedmill.operators.spread import MAX_BUCKETS, hot_keys, key_partitions, order_layout, previous_value
 
 STEP = 100_000
 
@@ -94,3 +95,14 @@ def test_previous_value_of_a_spread_key(spark):
     for bucket in (None, "_bucket"):
         got = previous_value(placed, ["k"], "seq", F.col("v"), "before", bucket)
         assert {r.seq: r.before for r in got.collect()} == expected
+
+
+def test_an_order_that_is_not_unique_fails(spark):
+    twice = spark.createDataFrame([(1,), (2,), (2,)], "seq long")
+    with pytest.raises(PySparkException, match="seq is not unique: 2"):
+        assign_scn(twice).collect()
+
+
+def test_partitions_grow_with_the_rows(spark):
+    assert key_partitions(spark, 1000) is None
+    assert key_partitions(spark, 10**9) == 250
