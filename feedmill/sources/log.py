@@ -6,12 +6,11 @@ number, so doing it again gives the same rows in the same place.
 """
 
 import uuid
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill.operators.scn import continued_hwm, next_hwm
@@ -79,44 +78,64 @@ def scn_state(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCN_STATE_SCHEMA).parquet(folder)
 
 
+def _same_request(source: str, epoch: int) -> Column:
+    return (F.col("source") == source) & (F.col("epoch") == epoch)
+
+
+def _finished(spark: SparkSession, path: str, source: str, epoch: int) -> Reservation | None:
+    """The reservation of this request, if all of its rows are in the log."""
+    mine = scn_state(spark, path).where(_same_request(source, epoch)).orderBy(F.desc("batch_id")).first()
+    if mine is None or _rows_written(spark, path, mine.batch_id) != mine.n_rows:
+        return None
+    return Reservation(mine.batch_id, mine.start_scn, mine.n_rows, mine.hwm, repeated=True)
+
+
 def reserve_scn(
     spark: SparkSession,
     path: str,
     source: str,
     epoch: int,
-    n_rows: Callable[[], int],
+    n_rows: int,
     run: str,
     step: int = SCN_STEP,
     gap_on_restart: bool = True,
 ) -> Reservation:
     """Reserve numbers for a batch and store the new mark.
 
-    The same `source` and `epoch` get the same numbers again. Another batch of
-    the same `run` goes on where the last one ended; a new run starts at the
-    stored mark and leaves the rest of the block unused, or goes on densely with
-    `gap_on_restart=False`. `n_rows` is asked for new batches only.
+    The same `source` and `epoch` get the same numbers again, and the same place
+    in the log. (If they come with another number of rows, because the settings
+    were changed in between, the numbers are left unused and new ones given.)
+    Another batch of the same `run` goes on where the last one ended; a new run
+    starts at the stored mark and leaves the rest of the block unused, or goes on
+    densely with `gap_on_restart=False`.
     """
-    same = (F.col("source") == source) & (F.col("epoch") == epoch)
     row = F.struct("*")
-    last, mine = (
+    last, mine, newest = (
         scn_state(spark, path)
-        .agg(F.max_by(row, "batch_id"), F.max_by(row, F.when(same, F.col("batch_id"))))
+        .agg(
+            F.max_by(row, F.struct("start_scn", "batch_id")),
+            F.max_by(row, F.when(_same_request(source, epoch), F.col("batch_id"))),
+            F.max("batch_id"),
+        )
         .first()
     )
-    if mine is not None:
-        return Reservation(mine.batch_id, mine.start_scn, mine.n_rows, mine.hwm, repeated=True)
-    count = n_rows()
+    if mine is not None and mine.n_rows == n_rows:
+        return Reservation(mine.batch_id, mine.start_scn, n_rows, mine.hwm, repeated=True)
     if last is None:
-        batch_id, start, hwm = 0, 0, next_hwm(0, count, step)
+        start, hwm = 0, next_hwm(0, n_rows, step)
     elif last.run == run or not gap_on_restart:
-        batch_id, start = last.batch_id + 1, last.start_scn + last.n_rows
-        hwm = continued_hwm(last.hwm, start, count, step)
+        start = last.start_scn + last.n_rows
+        hwm = continued_hwm(last.hwm, start, n_rows, step)
+    else:
+        start, hwm = last.hwm, next_hwm(last.hwm, n_rows, step)
+    if mine is not None:
+        batch_id = mine.batch_id
     else:
-        batch_id, start, hwm = last.batch_id + 1, last.hwm, next_hwm(last.hwm, count, step)
-    added = small_table(spark, [(batch_id, start, count, hwm, source, epoch, run)], SCN_STATE_SCHEMA)
+        batch_id = 0 if newest is None else newest + 1
+    added = small_table(spark, [(batch_id, start, n_rows, hwm, source, epoch, run)], SCN_STATE_SCHEMA)
     slot = f"{path.rstrip('/')}/_scn_state/slot={batch_id % STATE_SLOTS}"
     added.write.mode("overwrite").parquet(slot)
-    return Reservation(batch_id, start, count, hwm)
+    return Reservation(batch_id, start, n_rows, hwm)
 
 
 def publish_changes(
@@ -138,8 +157,13 @@ def publish_changes(
     with the numbers it had reserved.
     """
     spark = ops.sparkSession
-    source = source or uuid.uuid4().hex
     create_log(spark, path)
+    if source is None:
+        source = uuid.uuid4().hex
+    else:
+        done = _finished(spark, path, source, epoch)
+        if done is not None:
+            return done
     layout = order_layout(ops)
     records, labels = feed_parts(ops, settings, options, layout, initial_keys)
     if labels is not None:
@@ -147,12 +171,8 @@ def publish_changes(
         labels = labels.persist(StorageLevel.MEMORY_AND_DISK)
     counts = part_counts(records, labels, layout).persist()
     try:
-        total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)))
-        reserved = reserve_scn(
-            spark, path, source, epoch, lambda: total.first()[0], run or source, step, gap_on_restart
-        )
-        if reserved.repeated and _rows_written(spark, path, reserved.batch_id) == reserved.n_rows:
-            return reserved
+        n_rows = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+        reserved = reserve_scn(spark, path, source, epoch, n_rows, run or source, step, gap_on_restart)
         append_log(number_parts(records, labels, reserved.start_scn, layout, counts), path, reserved.batch_id)
         return reserved
     finally:

@@ -79,7 +79,7 @@ def test_an_unfinished_batch_is_written_with_its_own_numbers(spark, path, settin
     ops = ops_table(spark, random_ops(100, 3))
     n = len(labels_of(random_ops(100, 3)))
     create_log(spark, path)
-    reserve_scn(spark, path, "job", 0, lambda: n, run="r", step=50)
+    reserve_scn(spark, path, "job", 0, n, run="r", step=50)
     other = publish_changes(ops, settings, path, source="job", epoch=1, run="r", step=50)
     assert other.start_scn == n
     late = publish_changes(ops, settings, path, source="job", epoch=0, run="r", step=50)
@@ -89,7 +89,7 @@ def test_an_unfinished_batch_is_written_with_its_own_numbers(spark, path, settin
 
 def test_restart_leaves_a_gap(spark, path):
     def reserve(epoch, n, run, gap=True):
-        r = reserve_scn(spark, path, "s", epoch, lambda: n, run, step=100, gap_on_restart=gap)
+        r = reserve_scn(spark, path, "s", epoch, n, run, step=100, gap_on_restart=gap)
         return r.batch_id, r.start_scn, r.hwm
 
     assert reserve(0, 1, "one") == (0, 0, 100)
@@ -97,8 +97,11 @@ def test_restart_leaves_a_gap(spark, path):
     assert reserve(2, 1, "one") == (2, 100, 200)
     assert reserve(3, 250, "two") == (3, 200, 500)
     assert reserve(4, 10, "three", gap=False) == (4, 450, 500)
-    assert reserve(2, 99, "four") == (2, 100, 200)
+    assert reserve(2, 1, "four") == (2, 100, 200)
     assert scn_state(spark, path).count() == 5
+    # The same batch with other rows: new numbers, the old place.
+    assert reserve(2, 3, "three") == (2, 460, 500)
+    assert reserve(5, 1, "three") == (5, 463, 500)
 
 
 def test_state_stays_small(spark, path):
@@ -108,7 +111,7 @@ def test_state_stays_small(spark, path):
     for batch in range(STATE_SLOTS - 1, STATE_SLOTS + 3):
         row = small_table(spark, [(batch, batch, 1, 1000, "s", batch, "r")], SCN_STATE_SCHEMA)
         row.write.mode("overwrite").parquet(f"{path}/_scn_state/slot={batch % STATE_SLOTS}")
-    got = reserve_scn(spark, path, "s", 1000, lambda: 5, "r", step=1000)
+    got = reserve_scn(spark, path, "s", 1000, 5, "r", step=1000)
     assert (got.batch_id, got.start_scn) == (STATE_SLOTS + 3, STATE_SLOTS + 3)
     assert scn_state(spark, path).count() == 5
     assert read_log(spark, path).isEmpty()
