@@ -1,61 +1,55 @@
 """Liveness across micro-batches.
 
-The state of a key is one boolean, kept only while its row is there. The
-stateful step sees the last op of each key, not the ops themselves: these pass
-it by, and per live key of the batch one MARK row joins them. Tracing within
-the batch is then the batch operator's work, which can split hot keys.
+What has to outlive a batch is the set of live keys. It is kept next to the
+stream's checkpoint as a Parquet table that each batch joins with the last op
+of its own keys: what it needs of the old table are the rows of these keys, and
+the new table is the old one with these keys put right. Both are joins by key
+within Spark, whatever the number of keys; a Python function per key took
+several milliseconds for each.
 """
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from feedmill.operators.liveness import KEY, MARK, has_flags
-
-_LAST = "idx_name string, pk string, seq long, op string"
-_STATE = "live boolean"
-
-
-def last_ops(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The last op of each key within each Arrow batch, before anything is shuffled."""
-    for chunk in chunks:
-        ordered = chunk.sort_values("seq")
-        yield ordered.drop_duplicates(KEY, keep="last")
-
-
-def mark_live(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """A row for the key if it was live before this batch; keep what it is after."""
-    was_live = state.exists
-    seq, op = None, None
-    for chunk in chunks:
-        at = chunk["seq"].idxmax()
-        if seq is None or chunk.at[at, "seq"] > seq:
-            seq, op = chunk.at[at, "seq"], chunk.at[at, "op"]
-    if op == "DELETE":
-        if was_live:
-            state.remove()
-    else:
-        state.update((True,))
-    if was_live:
-        yield pd.DataFrame({"idx_name": [key[0]], "pk": [key[1]]})
-
-
-def stream_marks(applied: DataFrame) -> DataFrame:
-    """A stream of applied ops together with the MARK rows of each micro-batch."""
-    if has_flags(applied):
-        return applied
-    last = applied.select(*KEY, "seq", "op").mapInPandas(last_ops, _LAST)
-    live = last.groupBy(*KEY).applyInPandasWithState(
-        mark_live, "idx_name string, pk string", _STATE, "append", GroupStateTimeout.NoTimeout
-    )
-    return applied.unionByName(live.withColumn("op", F.lit(MARK)), allowMissingColumns=True)
-
-
-def split_marks(batch: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """A micro-batch of `stream_marks` as its ops and its live keys."""
-    if has_flags(batch):
-        return batch, None
-    return batch.where(F.col("op") != MARK), batch.where(F.col("op") == MARK).select(*KEY)
+from pyspark.sql import types as T
+
+from feedmill.operators.liveness import KEY
+from feedmill.tables import empty_table
+
+LIVE_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in KEY])
+
+# The table of a batch, the one it was made from, and one to spare.
+LIVE_SLOTS = 3
+
+
+class LiveKeys:
+    """The live keys of one stream, before and after each of its batches.
+
+    A batch reads the table of the batch before and writes its own, so doing a
+    batch again gives the same table. `initial_keys` are live before the first.
+    """
+
+    def __init__(self, checkpoint: str, initial_keys: DataFrame | None = None) -> None:
+        self._folder = f"{checkpoint.rstrip('/')}/live_keys"
+        self._initial = initial_keys
+
+    def _slot(self, epoch: int) -> str:
+        return f"{self._folder}/slot={epoch % LIVE_SLOTS}"
+
+    def after(self, spark: SparkSession, epoch: int) -> DataFrame:
+        if epoch >= 0:
+            return spark.read.schema(LIVE_SCHEMA).parquet(self._slot(epoch))
+        if self._initial is None:
+            return empty_table(spark, LIVE_SCHEMA)
+        return self._initial.select(*KEY).distinct()
+
+    def before(self, batch: DataFrame, epoch: int) -> DataFrame:
+        """Those keys of the batch that were live before it."""
+        touched = batch.select(*KEY).distinct()
+        return self.after(batch.sparkSession, epoch - 1).join(touched, KEY, "left_semi")
+
+    def store(self, batch: DataFrame, epoch: int) -> None:
+        """Write the table as it is after the batch: the last op of a key decides."""
+        last = batch.groupBy(*KEY).agg(F.max_by(F.col("op") != "DELETE", "seq").alias("_live"))
+        both = self.after(batch.sparkSession, epoch - 1).join(last, KEY, "full_outer")
+        kept = both.where(F.coalesce("_live", F.lit(True))).select(*KEY)
+        kept.write.mode("overwrite").parquet(self._slot(epoch))

@@ -1,4 +1,5 @@
-import pandas as pd
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,10 +8,10 @@ from feedmill.operators.filters import applied_ops
 from feedmill.operators.liveness import with_liveness
 from feedmill.plans.feed import FeedOptions, change_feed
 from feedmill.schemas import CDC_ENABLED_KEY, CHANGE_COLUMNS, CHANGE_SCHEMA, PATTERN_LIST_KEY, SETTINGS_SCHEMA
-from feedmill.sources.log import append_log, create_log, read_log, stream_log
+from feedmill.sources.log import append_log, create_log, publish_changes, read_log, stream_log
 from feedmill.sources.ops import stream_ops
 from feedmill.streaming.feed import stream_classify, stream_to_log
-from feedmill.streaming.liveness import last_ops
+from feedmill.streaming.liveness import LiveKeys
 from feedmill.tables import small_table
 from tests.helpers import labels_of, ops_table, random_ops, same_rows
 
@@ -123,9 +124,9 @@ def test_source_with_flags_needs_no_state(spark, files, settings):
     ops = ops_table(spark, rows)
     live = with_liveness(applied_ops(ops)).select("seq", "created", "found")
     files.add(ops.join(live, "seq", "left"))
-    query = files.run(settings, with_flags=True)
+    files.run(settings, with_flags=True)
     assert same_rows(files.records(), change_feed(ops, settings))
-    assert not query.lastProgress.stateOperators
+    assert not os.path.exists(f"{files.checkpoint}/live_keys")
 
 
 def test_stream_classify(spark, files):
@@ -142,19 +143,33 @@ def test_stream_classify(spark, files):
     assert sorted(got) == labels_of(rows)
 
 
-def test_state_holds_live_keys_only(spark, files, settings):
+def test_only_live_keys_are_kept(spark, files, settings):
     files.add(ops_table(spark, [{"pk": "1"}, {"pk": "2"}, {"pk": "3"}]))
     files.add(ops_table(spark, [{"seq": 10, "pk": "1", "op": "DELETE"}, {"seq": 11, "pk": "9", "op": "DELETE"}]))
-    query = files.run(settings)
-    assert query.lastProgress.stateOperators[0].numRowsTotal == 2
-
-
-def test_last_ops_of_a_chunk():
-    chunk = pd.DataFrame(
-        {"idx_name": ["a", "a", "b"], "pk": ["1", "1", "1"], "seq": [5, 2, 3], "op": ["DELETE", "INDEX", "INDEX"]}
-    )
-    (got,) = last_ops(iter([chunk]))
-    assert sorted(got.itertuples(index=False, name=None)) == [("a", "1", 5, "DELETE"), ("b", "1", 3, "INDEX")]
+    files.run(settings)
+    live = LiveKeys(files.checkpoint).after(spark, 1)
+    assert {r.pk for r in live.collect()} == {"2", "3"}
+
+
+def test_a_batch_done_again_leaves_the_same_live_keys(spark, tmp_path):
+    live = LiveKeys(str(tmp_path))
+    first = ops_table(spark, [{"pk": "1"}, {"pk": "2"}])
+    second = ops_table(spark, [{"seq": 5, "pk": "1", "op": "DELETE"}, {"seq": 6, "pk": "3"}])
+    live.store(first, 0)
+    for _ in range(2):
+        assert {r.pk for r in live.before(second, 1).collect()} == {"1"}
+        live.store(second, 1)
+        assert {r.pk for r in live.after(spark, 1).collect()} == {"2", "3"}
+
+
+def test_stream_after_a_backfill(spark, files, settings):
+    rows = random_ops(200, 17)
+    publish_changes(ops_table(spark, rows[:120]), settings, files.log)
+    known = consume.current_state(read_log(spark, files.log)).select("idx_name", "pk")
+    files.add(ops_table(spark, rows[120:160]))
+    files.add(ops_table(spark, rows[160:]))
+    files.run(settings, gap_on_restart=False, initial_keys=known)
+    assert same_rows(files.records(), change_feed(ops_table(spark, rows), settings))
 
 
 def test_log_as_a_stream(spark, tmp_path):
