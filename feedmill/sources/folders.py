@@ -9,8 +9,14 @@ from pyspark.sql import SparkSession
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder below `spark.checkpoint.dir`, the folder all executors share.
 
-    Where that is not set, as in local runs, a local temporary folder is made.
+    Where that is not set, a local session gets a local temporary folder. On a
+    cluster each executor would write such a folder to its own disk and later
+    reads would miss rows, so there the setting has to be made first.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared or tempfile.mkdtemp(prefix="feedmill-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not shared:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="feedmill-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
