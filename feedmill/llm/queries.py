@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from feedmill.llm.common import documents
 from feedmill.llm.exact_dedup import exact_dedup
+from feedmill.llm.html_text import extract
 from feedmill.llm.mixing import mix
 from feedmill.llm.quality_rules import quality_rules
 from feedmill.llm.sentence_pieces import encode_pieces
 from feedmill.llm.sharding import shard
+from feedmill.llm.suffix_dedup import remove_repeats
 
 
 def tokenizer_model(spark: SparkSession) -> str:
@@ -25,6 +27,10 @@ def tokenizer_model(spark: SparkSession) -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
@@ -46,12 +52,18 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(documents(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_remove_repeats": op1_remove_repeats,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_sentence_pieces": op4_sentence_pieces,
     "op7_mix_sources": op7_mix_sources,
     "op8_quality_rules": op8_quality_rules,
     "op9_shard": op9_shard,
+    "op10_html_text": op10_html_text,
 }
 
 ORACLE: dict[str, str] = {
