@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedmill.llm.common import documents, written
 from feedmill.llm.exact_dedup import drop_copies
+from feedmill.llm.jaccard_join import one_of_each
 from feedmill.llm.mixing import mixed_rows
 from feedmill.llm.quality_rules import drop_outliers
 from feedmill.llm.queries import tokenizer_model
@@ -25,6 +26,11 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_copies(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: shingles of five words, similarity of 0.8 or more."""
+    return one_of_each(docs, width=5, percent=80)
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the order of the mix; those of sources that are asked for more than they have come again."""
     return mixed_rows(docs)
@@ -38,6 +44,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_rules", quality_stage),
     ("exact_dedup", exact_stage),
+    ("jaccard_join", near_stage),
     ("mix_sources", mix_stage),
     ("sentence_pieces", token_stage),
 ]

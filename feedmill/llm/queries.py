@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedmill.llm.common import documents
 from feedmill.llm.exact_dedup import exact_dedup
 from feedmill.llm.html_text import extract
+from feedmill.llm.jaccard_join import jaccard_components
 from feedmill.llm.mixing import mix
 from feedmill.llm.quality_rules import quality_rules
 from feedmill.llm.sentence_pieces import encode_pieces
@@ -39,6 +40,10 @@ def op4_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(documents(spark, sf_dir), tokenizer_model(spark), digests=True)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(documents(spark, sf_dir).select("doc_id", "source"))
     return mixed.select("doc_id", F.col("mix_class").alias("source"), "mix_epoch", "mix_block", "mix_slot", "mix_rank")
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_remove_repeats": op1_remove_repeats,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_sentence_pieces": op4_sentence_pieces,
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_mix_sources": op7_mix_sources,
     "op8_quality_rules": op8_quality_rules,
     "op9_shard": op9_shard,
