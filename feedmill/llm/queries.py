@@ -12,6 +12,7 @@ from feedmill.llm.exact_dedup import exact_dedup
 from feedmill.llm.html_text import extract
 from feedmill.llm.jaccard_join import jaccard_components
 from feedmill.llm.mixing import mix
+from feedmill.llm.quality_classifier import classify, train
 from feedmill.llm.quality_rules import quality_rules
 from feedmill.llm.sentence_pieces import encode_pieces
 from feedmill.llm.sharding import shard
@@ -44,6 +45,11 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return classify(docs, train(docs, documents(spark, sf_dir, "labels")))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(documents(spark, sf_dir).select("doc_id", "source"))
     return mixed.select("doc_id", F.col("mix_class").alias("source"), "mix_epoch", "mix_block", "mix_slot", "mix_rank")
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_sentence_pieces": op4_sentence_pieces,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_mix_sources": op7_mix_sources,
     "op8_quality_rules": op8_quality_rules,
     "op9_shard": op9_shard,
