@@ -11,6 +11,7 @@ from feedmill.llm.common import documents
 from feedmill.llm.exact_dedup import exact_dedup
 from feedmill.llm.html_text import extract
 from feedmill.llm.jaccard_join import jaccard_components
+from feedmill.llm.lm_score import lm_score
 from feedmill.llm.mixing import mix
 from feedmill.llm.quality_classifier import classify, train
 from feedmill.llm.quality_rules import quality_rules
@@ -37,6 +38,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score(documents(spark, sf_dir), tokenizer_model(spark))
+
+
 def op4_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(documents(spark, sf_dir), tokenizer_model(spark), digests=True)
 
@@ -70,6 +75,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_remove_repeats": op1_remove_repeats,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_lm_score": op3_lm_score,
     "op4_sentence_pieces": op4_sentence_pieces,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_quality_classifier": op6_quality_classifier,
