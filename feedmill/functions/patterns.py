@@ -63,10 +63,21 @@ def _predicate(name: Column, pattern: str, illegal: set[str]) -> Column:
     return name.rlike(rf"\A(?:{pattern})\z")
 
 
-def name_matches(spark: SparkSession, name: Column, text: str | None) -> Column:
-    """Does the name match any entry of the list? Blank names and blank lists never do."""
+def illegal_in_lists(spark: SparkSession, texts: list[str | None]) -> set[str]:
+    """`illegal_patterns` of all entries of many lists, in one job."""
+    return illegal_patterns(spark, [p for text in texts for p in parse_patterns(text)])
+
+
+def name_matches(
+    spark: SparkSession, name: Column, text: str | None, illegal: set[str] | None = None
+) -> Column:
+    """Does the name match any entry of the list? Blank names and blank lists never do.
+
+    Who asks about many lists finds their `illegal` entries once, for all of them.
+    """
     patterns = parse_patterns(text)
-    illegal = illegal_patterns(spark, patterns)
+    if illegal is None:
+        illegal = illegal_patterns(spark, patterns)
     tests = [_predicate(name, p, illegal) for p in patterns]
     if not tests:
         return F.lit(False)

@@ -37,7 +37,8 @@ def scn_duplicates(log: DataFrame) -> DataFrame:
 
 def scn_gaps(log: DataFrame, layout: OrderLayout | None = None) -> DataFrame:
     """Runs of SCNs that stand on no record, between the first and the last one."""
-    placed = (layout or order_layout(log, "scn")).add_to(log.select("scn").distinct())
+    # A repeated SCN is no gap from itself, so repeats may stay.
+    placed = (layout or order_layout(log, "scn")).add_to(log.select("scn"))
     paired = previous_value(placed, [], "scn", F.col("scn"), "before", BUCKET)
     gap = paired.where(F.col("scn") - F.col("before") > 1)
     first, last = F.col("before") + 1, F.col("scn") - 1
@@ -48,7 +49,8 @@ def scn_gaps(log: DataFrame, layout: OrderLayout | None = None) -> DataFrame:
 
 def decode_payload(log: DataFrame, schema: T.StructType | str, out: str = "row") -> DataFrame:
     """Add the payload as typed columns in a struct; text that is no JSON gives NULL."""
-    return log.withColumn(out, F.from_json("row_data", schema))
+    legal = F.try_parse_json("row_data").isNotNull()
+    return log.withColumn(out, F.when(legal, F.from_json("row_data", schema)))
 
 
 def _counts() -> list[Column]:

@@ -11,9 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedmill.functions.patterns import entry_matches, name_matches, pattern_entries
+from feedmill.functions.patterns import entry_matches, illegal_in_lists, name_matches, pattern_entries
 from feedmill.functions.text import flag, is_blank
-from feedmill.operators.settings import latest_settings
 from feedmill.operators.spread import BUCKET, OrderLayout, order_layout
 from feedmill.schemas import CDC_ENABLED_KEY, PATTERN_LIST_KEY
 
@@ -23,8 +22,6 @@ POLICIES = ("v7", "v8")
 # longer ones are joined.
 MAX_INLINE = 200
 
-_UNSET = "unset"
-
 
 @dataclass
 class _Inline:
@@ -40,24 +37,25 @@ def _check(policy: str) -> None:
 
 
 def _is_flag() -> Column:
-    return (F.col("scope") == "index") & (F.col("key") == CDC_ENABLED_KEY)
+    return (F.col("scope") == "index") & (F.col("key") == CDC_ENABLED_KEY) & F.col("target").isNotNull()
 
 
 def _is_list() -> Column:
+    """Pattern lists of any node: the newest counts, whichever node it was set for."""
     return (F.col("scope") == "node") & (F.col("key") == PATTERN_LIST_KEY)
 
 
 def _inline(settings: DataFrame, policy: str, limit: int) -> _Inline | None:
     """The settings that matter, if there are no more than `limit` of them."""
     wanted = _is_flag() | _is_list() if policy == "v8" else _is_flag()
-    name, on = F.when(_is_flag(), F.col("target")), F.when(_is_flag(), flag(F.col("value")))
-    rows = settings.where(wanted).select("seq", name.alias("target"), on.alias("on"), "value")
+    on = F.when(_is_flag(), flag(F.col("value")))
+    rows = settings.where(wanted).select("seq", "target", _is_list().alias("is_list"), on.alias("on"), "value")
     found = rows.limit(limit + 1).collect()
     if len(found) > limit:
         return None
     short = _Inline()
-    for row in sorted(found, key=lambda r: r.seq, reverse=True):
-        if row.target is None:
+    for row in sorted(found, key=lambda r: (r.seq, r.value is not None, r.value or ""), reverse=True):
+        if row.is_list:
             short.lists.append((row.seq, row.value))
         else:
             short.flags.setdefault(row.target, []).append((row.seq, row.on))
@@ -69,7 +67,19 @@ def _latest_inline(settings: DataFrame, policy: str, limit: int) -> _Inline | No
     whole = _inline(settings, policy, limit)
     if whole is not None or limit == 0:
         return whole
-    return _inline(latest_settings(settings).withColumn("seq", F.lit(0)), policy, limit)
+    return _inline(_latest(settings), policy, limit)
+
+
+def _latest(settings: DataFrame) -> DataFrame:
+    """The newest change of every table flag and the newest of all pattern lists, with their `seq`.
+
+    Of changes at the same `seq` the one with the largest value counts.
+    """
+    newest = F.max_by(F.struct("seq", "value"), F.struct("seq", "value")).alias("_last")
+    group = F.when(_is_flag(), F.col("target"))
+    kept = settings.where(_is_flag() | _is_list())
+    rows = kept.groupBy("scope", "key", group.alias("target")).agg(newest)
+    return rows.select(F.col("_last.seq").alias("seq"), "scope", "target", "key", F.col("_last.value").alias("value"))
 
 
 def _since(steps: list[tuple[int, Column]], otherwise: Column) -> Column:
@@ -127,7 +137,7 @@ def capture_enabled(
     if short is not None:
         captured = _static_predicate(spark, short, policy)
         return df.withColumn("captured", F.coalesce(captured, F.lit(False)))
-    latest = latest_settings(settings)
+    latest = _latest(settings)
     own = latest.where(_is_flag()).select(F.col("target").alias("idx_name"), flag(F.col("value")).alias("_own"))
     listed = F.lit(False)
     if policy == "v8":
@@ -174,9 +184,11 @@ def _in_force(
     Worked out within buckets of `seq`, with the value in force at the start of
     a bucket carried over, so that a big table is spread over many tasks.
     """
-    rows = df.withColumns({"_change": F.lit(None).cast("string"), "_kind": F.lit(1)})
+    rows = df.withColumns({"_change": F.lit(None).cast("struct<value:string>"), "_kind": F.lit(1)})
     events = changes.where(F.col("seq") <= layout.high)
-    events = events.withColumn("_change", F.coalesce("value", F.lit(_UNSET))).drop("value")
+    # A change to no value is a change too: the value is wrapped, so that only rows without a change are NULL.
+    events = events.groupBy(*keys, "seq").agg(F.max("value").alias("value"))
+    events = events.withColumn("_change", F.struct("value")).drop("value")
     both = rows.unionByName(events.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
     earlier = F.col("seq") < layout.low
     both = layout.add_to(both).withColumn(BUCKET, F.when(earlier, -1).otherwise(F.col(BUCKET)))
@@ -194,7 +206,7 @@ def _in_force(
     # What was set before the first row reaches the rows by being carried.
     during = both.where(F.col(BUCKET) >= 0)
     joined = during.withColumn("_near", near).join(carried, [*keys, BUCKET], "left")
-    value = F.nullif(F.coalesce("_near", "_far"), F.lit(_UNSET))
+    value = F.coalesce("_near", "_far")["value"]
     return joined.where(F.col("_kind") == 1).select(*df.columns, value.alias(out))
 
 
@@ -211,7 +223,8 @@ def capture_asof(
     short = _inline(settings, policy, inline_rows)
     if short is not None:
         name = F.col("idx_name")
-        listed = _since([(s, name_matches(spark, name, v)) for s, v in short.lists], F.lit(False))
+        illegal = illegal_in_lists(spark, [v for _, v in short.lists])
+        listed = _since([(s, name_matches(spark, name, v, illegal)) for s, v in short.lists], F.lit(False))
         none = F.lit(None).cast("boolean")
         own = {t: _since([(s, F.lit(on)) for s, on in steps], none) for t, steps in short.flags.items()}
         captured = F.coalesce(_by_name(own, none), listed, F.lit(False))
@@ -241,15 +254,30 @@ def ever_captured(
     """Leave out tables that no setting in the history can capture.
 
     Only a saving: a table is kept or left out as a whole, so what is left can
-    still be labelled. Histories too long to write out leave all rows in.
+    still be labelled. For long histories each name is held once against each
+    entry of any list, and the tables are taken by a semi-join.
     """
     _check(policy)
     short = _inline(settings, policy, inline_rows)
     if short is None:
-        return df
+        return df.join(_capturable_names(df, settings, policy), "idx_name", "left_semi").select(*df.columns)
     name = F.col("idx_name")
     on = [t for t, steps in short.flags.items() if any(value for _, value in steps)]
-    tests = [name_matches(df.sparkSession, name, text) for _, text in short.lists]
+    illegal = illegal_in_lists(df.sparkSession, [text for _, text in short.lists])
+    tests = [name_matches(df.sparkSession, name, text, illegal) for _, text in short.lists]
     if on:
         tests.append(name.isin(*on))
     return df.where(reduce(Column.__or__, tests)) if tests else df.limit(0)
+
+
+def _capturable_names(df: DataFrame, settings: DataFrame, policy: str) -> DataFrame:
+    """Names that some flag or some list of a long history captures."""
+    on = settings.where(_is_flag() & flag(F.col("value"))).select(F.col("target").alias("idx_name"))
+    if policy == "v7":
+        return on.distinct()
+    entries = settings.where(_is_list()).select(F.explode(pattern_entries(F.col("value"))).alias("e")).distinct()
+    every = entries.agg(F.collect_list("e")).scalar()  # the distinct entries of the settings
+    names = df.select("idx_name").distinct().where(~is_blank(F.col("idx_name")))
+    held = names.withColumn("_entry", F.explode(every))
+    listed = held.where(entry_matches(F.col("idx_name"), F.col("_entry")))
+    return on.unionByName(listed.select("idx_name")).distinct()

@@ -86,6 +86,11 @@ def event_type() -> Column:
     return event_code(name)
 
 
+def found_event_type() -> Column:
+    """`event_type`, NULL for deletes that met no row."""
+    return F.when((F.col("op") != "DELETE") | F.col("found"), event_type())
+
+
 def classify(live: DataFrame) -> DataFrame:
     """Add `event_type`; deletes that met no row are left out."""
     return found_deletes(live).withColumn("event_type", event_type())

@@ -34,6 +34,14 @@ def _offsets(counts: DataFrame) -> DataFrame:
     return counts.select(BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
 
 
+def _twice(order_col: str) -> Column:
+    return F.raise_error(F.concat(F.lit(f"{order_col} is not unique: "), F.col(order_col).cast("string")))
+
+
+def _key_hash() -> Column:
+    return F.xxhash64("idx_name", "pk").alias("_key")
+
+
 def _numbered(
     df: DataFrame, order_col: str, start: int, layout: OrderLayout, counts: DataFrame | None
 ) -> DataFrame:
@@ -44,8 +52,8 @@ def _numbered(
         {"_rn": F.row_number().over(within), "_twin": F.lag(order_col).over(within)}
     ).join(F.broadcast(offsets), BUCKET)
     scn = F.col("_offset") + F.col("_rn") + F.lit(start)
-    twice = F.raise_error(F.concat(F.lit(f"{order_col} is not unique: "), F.col(order_col).cast("string")))
-    return numbered.withColumn("scn", F.when(F.col("_twin") == F.col(order_col), twice).otherwise(scn).cast("long"))
+    first = F.when(F.col("_twin") == F.col(order_col), _twice(order_col)).otherwise(scn)
+    return numbered.withColumn("scn", first.cast("long"))
 
 
 def assign_scn(
@@ -76,15 +84,27 @@ def number_labelled(
 ) -> DataFrame:
     """`assign_scn` for rows whose labels were worked out apart from them.
 
-    `labels` (`seq`, `event_type`) says which rows of `payload` are numbered.
-    Both go to the partition of their bucket and are merged there on `seq`, so
-    the wide rows are shuffled this one time only and no window buffers them.
+    `labels` (`seq`, `idx_name`, `pk`, `event_type`) has every row of `payload`;
+    those with an event type are numbered. A `seq` that comes twice among all of
+    them fails the job, and rows meet on `seq` and key, so that none can get the
+    label of another. Both go to the partition of their bucket and are merged
+    there: the wide rows are shuffled this one time and no window buffers them.
     """
-    known = labels.where(F.col("seq").isNotNull() & F.col("event_type").isNotNull())
+    known = labels.where(F.col("seq").isNotNull()).select("seq", "event_type", _key_hash())
     counts = _label_counts(known, layout) if counts is None else counts
-    heads = _numbered(known, "seq", start, layout, counts).select(BUCKET, "seq", "event_type", "scn")
-    bodies = _place(payload, layout)
-    joined = bodies.join(heads.hint("merge"), [BUCKET, "seq"])
+    within = W.partitionBy(BUCKET).orderBy("seq")
+    labelled = F.col("event_type").isNotNull()
+    traced = _place(known, layout).withColumns(
+        {
+            "_rn": F.count_if(labelled).over(within.rowsBetween(W.unboundedPreceding, 0)),
+            "_twin": F.max("seq").over(within.rowsBetween(W.unboundedPreceding, -1)),
+        }
+    )
+    kept = traced.where(F.when(F.col("_twin") == F.col("seq"), _twice("seq").cast("boolean")).otherwise(labelled))
+    scn = F.col("_offset") + F.col("_rn") + F.lit(start)
+    heads = kept.join(F.broadcast(_offsets(counts)), BUCKET).withColumn("scn", scn.cast("long"))
+    bodies = _place(payload.withColumn("_key", _key_hash()), layout)
+    joined = bodies.join(heads.select(BUCKET, "seq", "_key", "event_type", "scn").hint("merge"), [BUCKET, "seq", "_key"])
     return joined.select("scn", "event_type", *payload.columns)
 
 

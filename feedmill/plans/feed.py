@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from feedmill.functions.events import payload_text, stamp
 from feedmill.operators.filters import applied_ops, exclude_self
 from feedmill.operators.gate import MAX_INLINE, capture_asof, ever_captured, gate
-from feedmill.operators.liveness import KEY, classify, has_flags, with_liveness
+from feedmill.operators.liveness import KEY, classify, found_event_type, has_flags, with_liveness
 from feedmill.operators.scn import assign_scn, bucket_counts, number_labelled
 from feedmill.operators.spread import OrderLayout, order_layout
 from feedmill.schemas import CHANGE_COLUMNS, LOG_NAME
@@ -53,15 +53,21 @@ def labelled_ops(
     options: FeedOptions,
     layout: OrderLayout | None,
     initial_keys: DataFrame | None = None,
+    keep_all: bool = False,
 ) -> DataFrame:
-    """Liveness, event type, and where settings change with time their gate."""
+    """Liveness, event type, and where settings change with time their gate.
+
+    With `keep_all`, ops that give no record stay, with event type NULL.
+    """
     if initial_keys is not None:
         initial_keys = capturable(initial_keys, settings, options)
     live = with_liveness(candidates, initial_keys, layout, options.hot_rows)
-    labelled = classify(live)
+    labelled = live.withColumn("event_type", found_event_type()) if keep_all else classify(live)
     if not options.as_of:
         return labelled
     known = capture_asof(labelled, settings, options.policy, layout, options.inline_rows)
+    if keep_all:
+        return known.withColumn("event_type", F.when(F.col("captured"), F.col("event_type"))).drop("captured")
     return known.where("captured").drop("captured")
 
 
@@ -106,9 +112,9 @@ def feed_parts(
         labelled = labelled_ops(candidates, settings, options, layout)
         return to_change_records(labelled, options.clock), None
     narrow = candidates.select("seq", *KEY, "op")
-    labels = labelled_ops(narrow, settings, options, layout, initial_keys)
+    labels = labelled_ops(narrow, settings, options, layout, initial_keys, keep_all=True)
     rows = candidates.withColumn("event_type", F.lit(None).cast("string"))
-    return to_change_records(rows, options.clock).drop("event_type"), labels.select("seq", "event_type")
+    return to_change_records(rows, options.clock).drop("event_type"), labels.select("seq", *KEY, "event_type")
 
 
 def number_parts(
@@ -126,7 +132,7 @@ def number_parts(
 
 
 def part_counts(records: DataFrame, labels: DataFrame | None, layout: OrderLayout) -> DataFrame:
-    return bucket_counts(records if labels is None else labels, layout)
+    return bucket_counts(records if labels is None else labels.where(F.col("event_type").isNotNull()), layout)
 
 
 def change_feed(
