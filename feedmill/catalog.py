@@ -31,14 +31,17 @@ from feedmill.plans.feed import FeedOptions, change_feed, change_records
 from feedmill.schemas import (
     CDC_ENABLED_KEY,
     CHANGE_COLUMNS,
+    LOG_NAME,
     MAX_SCN_KEY,
     OPS_SCHEMA,
     PATTERN_LIST_KEY,
     SETTINGS_SCHEMA,
 )
+from feedmill.operators.spread import order_layout
 from feedmill.sources.folders import scratch_folder
 from feedmill.sources.log import append_log, create_log, publish_changes, read_log, stream_log
 from feedmill.sources.ops import stream_files
+from feedmill.streaming.copy import copy_stream
 from feedmill.streaming.feed import stream_to_log
 from feedmill.tables import small_table
 
@@ -727,10 +730,49 @@ def feed_stream(spark, sf_dir):
 
 @_query(f"with {_FEED} select {_COLS} from feed")
 def log_stream(spark, sf_dir):
-    """A consumer that follows the log as a stream and copies it without repeats."""
+    """A consumer that copies the log without repeats: batches out of time order, one of them written again."""
     path, copy = scratch_folder(spark, "log"), scratch_folder(spark, "copy")
-    publish_changes(_ops(spark, sf_dir), static_settings(spark), path)
-    unique = consume.dedupe_stream(stream_log(spark, path), "10 minutes")
-    writer = unique.writeStream.option("checkpointLocation", scratch_folder(spark, "checkpoint"))
-    writer.trigger(availableNow=True).start(path=copy, format="parquet").awaitTermination()
-    return spark.read.parquet(copy)
+    checkpoint = scratch_folder(spark, "checkpoint")
+    create_log(spark, path)
+    feed = _feed(spark, sf_dir).persist()
+    thirds = [feed.where(F.col("scn") % 3 == i) for i in (2, 0, 1)]
+
+    def follow():
+        copy_stream(stream_log(spark, path, max_files=1), copy, checkpoint, availableNow=True).awaitTermination()
+
+    for i, third in enumerate(thirds[:2]):
+        append_log(third, path, i)
+    follow()
+    append_log(thirds[0], path, 0)
+    append_log(thirds[2].coalesce(2), path, 2)
+    follow()
+    feed.unpersist()
+    return spark.read.parquet(copy).select(*CHANGE_COLUMNS)
+
+
+@_query(f"with {_FEED} select scn + 5000 as scn, idx_name, event_type, pk, row_data, create_time from feed")
+def scn_from_setting(spark, sf_dir):
+    """Numbers that start at the mark which is set for the log."""
+    path = scratch_folder(spark, "log")
+    mark = small_table(spark, [(1, "index", LOG_NAME, MAX_SCN_KEY, "5000")], SETTINGS_SCHEMA)
+    publish_changes(_ops(spark, sf_dir), static_settings(spark).unionByName(mark), path)
+    return read_log(spark, path).select(*CHANGE_COLUMNS)
+
+
+@_query(f"with {_FEED} select {_COLS} from feed")
+def feed_many_buckets(spark, sf_dir):
+    """The feed cut into many small buckets, its commonest keys split over them."""
+    ops = _ops(spark, sf_dir)
+    options = FeedOptions(hot_rows=20)
+    return change_feed(ops, static_settings(spark), options=options, layout=order_layout(ops, task_rows=100))
+
+
+@_query(
+    f"""with {_FEED}, stepped as (
+  select scn, lag(scn) over (order by scn) as before from feed where event_type <> 'D')
+select before + 1 as first_scn, scn - 1 as last_scn, scn - before - 1 as n_missing
+from stepped where scn - before > 1"""
+)
+def scn_gaps_many_buckets(spark, sf_dir):
+    log = _feed(spark, sf_dir).where("event_type <> 'D'")
+    return consume.scn_gaps(log, order_layout(log, "scn", task_rows=50))

@@ -73,10 +73,3 @@ def volume_by_window(log: DataFrame, width: str = "1 hour", time: Column | None
 def dedupe(log: DataFrame) -> DataFrame:
     """Leave out records that repeat another one in all six columns."""
     return log.select(*CHANGE_COLUMNS).distinct()
-
-
-def dedupe_stream(log: DataFrame, delay: str) -> DataFrame:
-    """`dedupe` for a stream: repeats may come up to `delay` of capture time apart."""
-    timed = log.select(*CHANGE_COLUMNS).withColumn("_at", F.to_timestamp("create_time", "yyyy-MM-dd'T'HH:mm:ssSSS"))
-    unique = timed.withWatermark("_at", delay).dropDuplicatesWithinWatermark(CHANGE_COLUMNS)
-    return unique.drop("_at")

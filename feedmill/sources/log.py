@@ -1,10 +1,11 @@
 """The change log: a Parquet table with one folder per batch.
 
-`_scn_state` inside the log holds which numbers each batch has reserved. A
-batch is reserved before it is written and written to the folder of its own
+`_scn_state` inside the log holds which numbers each batch has reserved, one
+small file per reservation as there is one folder per batch. A batch is reserved before it is written and written to the folder of its own
 number, so doing it again gives the same rows in the same place.
 """
 
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -13,16 +14,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedmill.functions.text import stored_mark
 from feedmill.operators.scn import continued_hwm, next_hwm
+from feedmill.operators.settings import latest_settings
 from feedmill.operators.spread import order_layout
 from feedmill.plans.feed import FeedOptions, feed_parts, number_parts, part_counts
-from feedmill.schemas import CHANGE_COLUMNS, LOG_SCHEMA, SCN_STATE_SCHEMA, SCN_STEP
-from feedmill.tables import empty_table, small_table
-
-# Reservations kept. Only the newest is needed to go on and a stream repeats
-# none but its last batch; the rest let batch runs be repeated safely.
-STATE_SLOTS = 64
-
+from feedmill.schemas import CHANGE_COLUMNS, LOG_SCHEMA, MAX_SCN_KEY, SCN_STATE_SCHEMA, SCN_STEP
+from feedmill.sources.claims import claim
+from feedmill.tables import empty_table
 
 def create_log(spark: SparkSession, path: str) -> None:
     """Create the log if it is not there; a log that is there is left alone."""
@@ -70,12 +69,18 @@ class Reservation:
     repeated: bool = False
 
 
+def _state_folder(path: str) -> str:
+    return f"{path.rstrip('/')}/_scn_state"
+
+
 def scn_state(spark: SparkSession, path: str) -> DataFrame:
-    """The reservations kept, one row per batch."""
-    folder = f"{path.rstrip('/')}/_scn_state"
-    empty = empty_table(spark, SCN_STATE_SCHEMA)
-    empty.withColumn("slot", F.lit(0)).write.mode("ignore").partitionBy("slot").parquet(folder)
-    return spark.read.schema(SCN_STATE_SCHEMA).parquet(folder)
+    """All reservations; a batch that was reserved anew has several, of which the last counts."""
+    try:
+        return spark.read.schema(SCN_STATE_SCHEMA).json(_state_folder(path))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return empty_table(spark, SCN_STATE_SCHEMA)
+        raise
 
 
 def _same_request(source: str, epoch: int) -> Column:
@@ -84,7 +89,7 @@ def _same_request(source: str, epoch: int) -> Column:
 
 def _finished(spark: SparkSession, path: str, source: str, epoch: int) -> Reservation | None:
     """The reservation of this request, if all of its rows are in the log."""
-    mine = scn_state(spark, path).where(_same_request(source, epoch)).orderBy(F.desc("batch_id")).first()
+    mine = scn_state(spark, path).where(_same_request(source, epoch)).orderBy(F.desc("start_scn"), F.desc("hwm")).first()
     if mine is None or _rows_written(spark, path, mine.batch_id) != mine.n_rows:
         return None
     return Reservation(mine.batch_id, mine.start_scn, mine.n_rows, mine.hwm, repeated=True)
@@ -99,43 +104,54 @@ def reserve_scn(
     run: str,
     step: int = SCN_STEP,
     gap_on_restart: bool = True,
+    at_least: int = 0,
 ) -> Reservation:
     """Reserve numbers for a batch and store the new mark.
 
     The same `source` and `epoch` get the same numbers again, and the same place
-    in the log. (If they come with another number of rows, because the settings
-    were changed in between, the numbers are left unused and new ones given.)
-    Another batch of the same `run` goes on where the last one ended; a new run
-    starts at the stored mark and leaves the rest of the block unused, or goes on
-    densely with `gap_on_restart=False`.
+    in the log, however many batches came between. (If they come with another
+    number of rows, because the settings were changed in between, the numbers are
+    left unused and new ones given.) Another batch of the same `run` goes on
+    where the last one ended; a new run starts at the stored mark and leaves the
+    rest of the block unused, or goes on densely with `gap_on_restart=False`.
+    New numbers start at `at_least` or later.
+
+    Each reservation is a file of its own, numbered in order, that one writer
+    alone can make. Who comes second looks again, so several writers share a log.
     """
     row = F.struct("*")
-    last, mine, newest = (
-        scn_state(spark, path)
-        .agg(
-            F.max_by(row, F.struct("start_scn", "batch_id")),
-            F.max_by(row, F.when(_same_request(source, epoch), F.col("batch_id"))),
+    while True:
+        state = scn_state(spark, path)
+        order = F.struct("start_scn", "hwm", "batch_id")
+        last, mine, newest, n_state = state.agg(
+            F.max_by(row, order),
+            F.max_by(row, F.when(_same_request(source, epoch), order)),
             F.max("batch_id"),
-        )
-        .first()
-    )
-    if mine is not None and mine.n_rows == n_rows:
-        return Reservation(mine.batch_id, mine.start_scn, n_rows, mine.hwm, repeated=True)
-    if last is None:
-        start, hwm = 0, next_hwm(0, n_rows, step)
-    elif last.run == run or not gap_on_restart:
-        start = last.start_scn + last.n_rows
-        hwm = continued_hwm(last.hwm, start, n_rows, step)
-    else:
-        start, hwm = last.hwm, next_hwm(last.hwm, n_rows, step)
-    if mine is not None:
-        batch_id = mine.batch_id
-    else:
-        batch_id = 0 if newest is None else newest + 1
-    added = small_table(spark, [(batch_id, start, n_rows, hwm, source, epoch, run)], SCN_STATE_SCHEMA)
-    slot = f"{path.rstrip('/')}/_scn_state/slot={batch_id % STATE_SLOTS}"
-    added.write.mode("overwrite").parquet(slot)
-    return Reservation(batch_id, start, n_rows, hwm)
+            F.count("*"),
+        ).first()
+        if mine is not None and mine.n_rows == n_rows:
+            return Reservation(mine.batch_id, mine.start_scn, n_rows, mine.hwm, repeated=True)
+        if last is None:
+            start, mark = 0, None
+        elif last.run == run or not gap_on_restart:
+            start, mark = last.start_scn + last.n_rows, last.hwm
+        else:
+            start, mark = last.hwm, None
+        if start < at_least:
+            start, mark = at_least, None
+        hwm = next_hwm(start, n_rows, step) if mark is None else continued_hwm(mark, start, n_rows, step)
+        batch_id = mine.batch_id if mine is not None else 0 if newest is None else newest + 1
+        values = (batch_id, start, n_rows, hwm, source, epoch, run)
+        content = json.dumps(dict(zip(SCN_STATE_SCHEMA.fieldNames(), values, strict=True)))
+        if claim(spark, f"{_state_folder(path)}/{n_state:012d}.json", content + "\n"):
+            return Reservation(batch_id, start, n_rows, hwm)
+
+
+def set_mark(spark: SparkSession, settings: DataFrame, log_name: str) -> int:
+    """The mark that an admin has set for the log, 0 if none."""
+    wanted = (F.col("scope") == "index") & (F.col("key") == MAX_SCN_KEY) & (F.col("target") == log_name)
+    row = latest_settings(settings.where(wanted)).select(stored_mark(F.col("value")).alias("mark")).first()
+    return row.mark if row is not None else 0
 
 
 def publish_changes(
@@ -154,10 +170,13 @@ def publish_changes(
 
     Call it with the `source` and `epoch` of an earlier call to repeat that
     batch: a finished one is left as it is, an unfinished one is written again
-    with the numbers it had reserved.
+    with the numbers it had reserved. Numbers start after the greater of the
+    log's own mark and the mark set for it in `settings`. Several publishers may
+    write to one log at once, each batch under numbers of its own.
     """
     spark = ops.sparkSession
     create_log(spark, path)
+    at_least = set_mark(spark, settings, options.log_name)
     if source is None:
         source = uuid.uuid4().hex
     else:
@@ -172,7 +191,7 @@ def publish_changes(
     counts = part_counts(records, labels, layout).persist()
     try:
         n_rows = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-        reserved = reserve_scn(spark, path, source, epoch, n_rows, run or source, step, gap_on_restart)
+        reserved = reserve_scn(spark, path, source, epoch, n_rows, run or source, step, gap_on_restart, at_least)
         append_log(number_parts(records, labels, reserved.start_scn, layout, counts), path, reserved.batch_id)
         return reserved
     finally:

@@ -23,7 +23,7 @@ def _settings_now(batch: DataFrame, settings: Settings) -> DataFrame:
     return settings() if callable(settings) else settings
 
 
-def _query_id(batch: DataFrame) -> str | None:
+def query_id(batch: DataFrame) -> str | None:
     """The id of the running query, which its checkpoint keeps over restarts."""
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
@@ -104,7 +104,7 @@ def stream_to_log(
             path,
             options,
             live_keys,
-            source=_query_id(batch) or checkpoint,
+            source=query_id(batch) or checkpoint,
             epoch=epoch,
             run=run,
             step=step,

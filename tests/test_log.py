@@ -1,10 +1,21 @@
+import json
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from feedmill.operators import consume
 from feedmill.operators.snapshot import snapshot_diff
 from feedmill.plans.feed import change_feed
-from feedmill.schemas import CHANGE_COLUMNS, CHANGE_SCHEMA, PATTERN_LIST_KEY, SCN_STATE_SCHEMA, SETTINGS_SCHEMA
+from feedmill.schemas import (
+    CHANGE_COLUMNS,
+    CHANGE_SCHEMA,
+    LOG_NAME,
+    MAX_SCN_KEY,
+    PATTERN_LIST_KEY,
+    SCN_STATE_SCHEMA,
+    SETTINGS_SCHEMA,
+)
+from feedmill.sources.claims import claim
 from feedmill.sources.log import (
-    STATE_SLOTS,
     append_log,
     create_log,
     publish_changes,
@@ -104,17 +115,36 @@ def test_restart_leaves_a_gap(spark, path):
     assert reserve(5, 1, "three") == (5, 463, 500)
 
 
-def test_state_stays_small(spark, path):
-    """Reservations go round in a fixed number of slots; the newest is always among them."""
+def test_a_repeat_is_known_after_many_others(spark, path, settings):
+    ops = ops_table(spark, random_ops(50, 5))
+    first = publish_changes(ops, settings, path, source="a")
+    for i in range(1, 1001):
+        row = (i, 100_000 + i, 1, 300_000, "b", i, "r")
+        content = json.dumps(dict(zip(SCN_STATE_SCHEMA.fieldNames(), row, strict=True)))
+        assert claim(spark, f"{path}/_scn_state/{i:012d}.json", content)
+    again = publish_changes(ops, settings, path, source="a")
+    assert again.repeated and (again.batch_id, again.start_scn) == (first.batch_id, first.start_scn)
+    assert read_log(spark, path).count() == first.n_rows
+    assert reserve_scn(spark, path, "c", 0, 5, "new").start_scn == 300_000
+
+
+def test_two_publishers_at_once(spark, path, settings):
     create_log(spark, path)
-    scn_state(spark, path)
-    for batch in range(STATE_SLOTS - 1, STATE_SLOTS + 3):
-        row = small_table(spark, [(batch, batch, 1, 1000, "s", batch, "r")], SCN_STATE_SCHEMA)
-        row.write.mode("overwrite").parquet(f"{path}/_scn_state/slot={batch % STATE_SLOTS}")
-    got = reserve_scn(spark, path, "s", 1000, 5, "r", step=1000)
-    assert (got.batch_id, got.start_scn) == (STATE_SLOTS + 3, STATE_SLOTS + 3)
-    assert scn_state(spark, path).count() == 5
-    assert read_log(spark, path).isEmpty()
+    ops = ops_table(spark, random_ops(60, 6))
+    with ThreadPoolExecutor(4) as pool:
+        jobs = [pool.submit(publish_changes, ops, settings, path, source=f"s{i}") for i in range(4)]
+        made = [job.result() for job in jobs]
+    assert sorted(r.batch_id for r in made) == [0, 1, 2, 3]
+    scns = [r.scn for r in read_log(spark, path).collect()]
+    assert len(scns) == len(set(scns)) == 4 * made[0].n_rows
+
+
+def test_numbers_start_at_the_mark_that_is_set(spark, path, settings):
+    ops = ops_table(spark, random_ops(20, 7))
+    mark = small_table(spark, [(1, "index", LOG_NAME, MAX_SCN_KEY, "5000")], SETTINGS_SCHEMA)
+    both = settings.unionByName(mark)
+    assert publish_changes(ops, both, path, step=100).start_scn == 5000
+    assert publish_changes(ops, both, path, step=100).start_scn == 5100
 
 
 # --- consumers --------------------------------------------------------------

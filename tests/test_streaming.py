@@ -10,6 +10,7 @@ from feedmill.plans.feed import FeedOptions, change_feed
 from feedmill.schemas import CDC_ENABLED_KEY, CHANGE_COLUMNS, CHANGE_SCHEMA, PATTERN_LIST_KEY, SETTINGS_SCHEMA
 from feedmill.sources.log import append_log, create_log, publish_changes, read_log, stream_log
 from feedmill.sources.ops import stream_ops
+from feedmill.streaming.copy import copy_stream
 from feedmill.streaming.feed import stream_classify, stream_to_log
 from feedmill.streaming.liveness import LiveKeys
 from feedmill.tables import small_table
@@ -179,13 +180,12 @@ def test_log_as_a_stream(spark, tmp_path):
     log = spark.createDataFrame(rows, CHANGE_SCHEMA)
 
     def follow():
-        unique = consume.dedupe_stream(stream_log(spark, path), "1 minute")
-        writer = unique.writeStream.option("checkpointLocation", str(tmp_path / "checkpoint"))
-        writer.trigger(availableNow=True).start(path=copy, format="parquet").awaitTermination()
-        return spark.read.parquet(copy)
+        stream = stream_log(spark, path, max_files=1)
+        copy_stream(stream, copy, str(tmp_path / "checkpoint"), availableNow=True).awaitTermination()
+        return spark.read.parquet(copy).drop("part")
 
     append_log(log, path, 0)
     assert same_rows(follow(), log)
     append_log(log, path, 0)
-    append_log(log.withColumn("scn", F.col("scn") + 5), path, 1)
+    append_log(log.withColumns({"scn": F.col("scn") + 5, "create_time": F.lit("1999-01-01T00:00:00000")}), path, 1)
     assert follow().count() == 10
