@@ -5,6 +5,7 @@ that must match the whole name. `*` alone matches every name and an entry that
 is no legal expression stands for itself.
 """
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, SparkSession
@@ -14,6 +15,8 @@ from pyspark.sql import types as T
 from feedmill.functions.text import is_blank, text_is_blank, trim_controls, trim_controls_col
 from feedmill.tables import small_table
 
+# The start of a group or flag that turns comments on.
+_COMMENTS = re.compile(r"\(\?[a-zA-Z]*x")
 _PLAIN = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-")
 
 
@@ -57,8 +60,8 @@ def _predicate(name: Column, pattern: str, illegal: set[str]) -> Column:
         return F.lit(True)
     if pattern in illegal or _PLAIN.issuperset(pattern):
         return name == pattern
-    if r"\Q" in pattern or "(?" in pattern:
-        # An open quote or a comment flag would swallow the anchors below.
+    if r"\Q" in pattern or _COMMENTS.search(pattern):
+        # An open quote or a comment would swallow the anchors below. Other flags end with their group.
         return F.coalesce(full_match(name, F.lit(pattern)), F.lit(False))
     return name.rlike(rf"\A(?:{pattern})\z")
 

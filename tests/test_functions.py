@@ -167,3 +167,17 @@ def test_any_list_is_accepted(spark, text, name):
     entries = df.select("name", F.explode(pattern_entries(F.col("list"))).alias("entry"))
     hits = entries.where(~is_blank(F.col("name"))).select(entry_matches(F.col("name"), F.col("entry")).alias("hit"))
     assert inline == any(r.hit for r in hits.collect())
+
+
+def test_flags_in_patterns_keep_their_anchors(spark):
+    names = ["abc", "ABC", "abcd", "x#y", "xab", "a\nb", "ab"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    for pattern, wanted in {
+        "(?i)abc": {"abc", "ABC"},
+        "(?s)a.b": {"a\nb"},
+        "(?x)ab # all": {"ab"},
+        "(?:ab)c?": {"abc", "ab"},
+        "(?=x).*": {"x#y", "xab"},
+        r"\Qx#y": {"x#y"},
+    }.items():
+        assert {r.name for r in df.where(name_matches(spark, df.name, pattern)).collect()} == wanted
