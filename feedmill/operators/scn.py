@@ -22,10 +22,11 @@ def _place(df: DataFrame, layout: OrderLayout) -> DataFrame:
 def _label_counts(labels: DataFrame, layout: OrderLayout) -> DataFrame:
     """`bucket_counts` taken behind the exchange of the labels.
 
-    The test that is always true asks for both columns of the labels, so that
+    The tests that are always true ask for all columns of the labels, so that
     this and the numbering ask for the same exchange and Spark runs it once.
     """
-    present = F.col("event_type").isNotNull() & (F.col("seq") >= layout.low)
+    any_key = F.col("_key") >= F.lit(-(2**63))
+    present = F.col("event_type").isNotNull() & (F.col("seq") >= layout.low) & any_key
     return _place(labels, layout).groupBy(BUCKET).agg(F.count_if(present).alias("_n"))
 
 
