@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,9 +14,31 @@ from pyspark.sql.window import Window as W
 
 from feedmill.sources.folders import scratch_folder
 
-#: Rows of one numbering bucket, about; a task sorts a few of them.
+#: Rows of one numbering bucket, about, if they are narrow; a task sorts a few of them.
 BUCKET_ROWS = 200_000
 
+#: Rows of a batch that are held as Python values at a time.
+SLICE_ROWS = 1024
+
+
+def _give_back_memory() -> None:
+    """Workers live long: what they free goes back to the system, large arrays at once."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
+    if mallopt is not None:
+        mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD: arrays above a megabyte have pages of their own
+        mallopt(-8, 2)  # M_ARENA_MAX
+
+
+_give_back_memory()
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in parts of at most `SLICE_ROWS` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -57,14 +80,15 @@ def pieces(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def numbered(df: DataFrame, keys: list[str], order: list[Column], out: str, spread: list[Column], n_rows: int) -> DataFrame:
+def numbered(df: DataFrame, keys: list[str], order: list[Column], out: str, spread: list[Column], n_rows: int, bucket_rows: int | None = None) -> DataFrame:
     """Gapless numbers from 0 within `keys`, by hash bucket, then `order`.
 
     A key may hold any share of the rows: it is cut into buckets by the hash of
     `spread`, rows are numbered in their bucket, and buckets start where the one
-    before ended. Only the counts of buckets are ever gathered by key.
+    before ended. Only the counts of buckets are ever gathered by key. Wide rows
+    take fewer `bucket_rows`, as a task sorts whole buckets.
     """
-    n_buckets = max(1, n_rows // BUCKET_ROWS)
+    n_buckets = max(1, n_rows // (bucket_rows or BUCKET_ROWS))
     rows = df.withColumn("__bucket", F.pmod(F.xxhash64(*spread), F.lit(n_buckets)))
     counts = rows.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     before = W.partitionBy(*keys).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)

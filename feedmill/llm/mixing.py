@@ -23,6 +23,8 @@ from feedmill.llm.common import numbered
 CYCLE = 4096
 #: Documents of one block.
 BLOCK_DOCS = 64
+#: Whole documents of one numbering bucket.
+WIDE_ROWS = 4_000
 #: Sources with a class of their own; the rest share one and are mixed in it at random.
 MAX_CLASSES = 1024
 #: Target weights are proportional to the documents of a source to this power.
@@ -68,7 +70,7 @@ def one_cycle(share: dict[str, int]) -> list[tuple[str, int, int]]:
 
 def mix(
     docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source",
-    block_docs: int = BLOCK_DOCS, seed: int = 0,
+    block_docs: int = BLOCK_DOCS, seed: int = 0, bucket_rows: int | None = None,
 ) -> DataFrame:
     """The mix: a row of `docs`, with all its columns, for every time it is used.
 
@@ -117,13 +119,13 @@ def mix(
     names = docs.columns
     rows = docs.withColumn("__source", source).join(F.broadcast(known.select(F.col("s").alias("__named"))), F.col("__source") == F.col("__named"), "left")
     rows = rows.withColumn("mix_class", F.coalesce("__named", F.lit(REST)))
-    return _placed(rows, names, plan, slots, cycle, block_docs, id_col, seed, sum(sizes.values()))
+    return _placed(rows, names, plan, slots, cycle, block_docs, id_col, seed, sum(sizes.values()), bucket_rows)
 
 
-def _placed(rows, names, plan, slots, cycle, block_docs, id_col, seed, n_rows) -> DataFrame:
+def _placed(rows, names, plan, slots, cycle, block_docs, id_col, seed, n_rows, bucket_rows) -> DataFrame:
     key = F.xxhash64(F.col(id_col), F.lit(seed))
     spread = [key, F.xxhash64(*names)]
-    ranked = numbered(rows, ["mix_class"], [key, F.col(id_col), F.xxhash64(*names)], "__number", spread, n_rows)
+    ranked = numbered(rows, ["mix_class"], [key, F.col(id_col), F.xxhash64(*names)], "__number", spread, n_rows, bucket_rows)
     block = F.floor(F.col("__number") / block_docs)
     first = ranked.withColumn("__block", block).join(F.broadcast(plan), F.col("mix_class") == F.col("p_class"))
     # Block b of a source comes as its blocks b, b + n, b + 2 n, ... in the mix.
@@ -145,5 +147,5 @@ def mixed_rows(
 ) -> DataFrame:
     """The mix as rows of `docs`, in its order: files follow one another by slot."""
     packed = docs.select(F.col(id_col).alias("i"), F.col(source_col).alias("s"), F.struct(*docs.columns).alias("row"))
-    mixed = mix(packed, weights, "i", "s", **more)
+    mixed = mix(packed, weights, "i", "s", bucket_rows=WIDE_ROWS, **more)
     return mixed.repartitionByRange("mix_slot", "mix_rank").sortWithinPartitions("mix_slot", "mix_rank").select("row.*")
