@@ -9,10 +9,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.common import bytes_of, whole, written
+from feedmill.llm.common import bytes_of, slices, whole, written
 
 #: Bytes of text in a block; a longer text is a block of its own.
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 
 
 def _pack(batches):
@@ -33,7 +33,7 @@ def _pack(batches):
         ids, texts, size, count = [], [], 0, count + 1
         return pa.RecordBatch.from_pydict(row, schema)
 
-    for batch in batches:
+    for batch in slices(batches):
         schema = pa.schema(
             [("block", pa.int64()), ("ids", pa.list_(batch["id"].type)), ("sizes", pa.binary()), ("blob", pa.binary())]
         )
@@ -66,5 +66,7 @@ def owners(values: np.ndarray, n: int) -> np.ndarray:
 
 def cuts(owner: np.ndarray) -> list[tuple[int, int, int]]:
     """(owner, start, end) of the runs of a sorted array."""
+    if not len(owner):
+        return []
     at = np.flatnonzero(np.diff(owner, prepend=-1))
     return list(zip(owner[at].tolist(), at.tolist(), [*at[1:].tolist(), len(owner)], strict=True))

@@ -10,7 +10,8 @@ dealt by anchor to shards, equal ones of a block once, with their number.
 A shard sorts the suffixes of its distinct segments by Larsson-Sadakane
 refinement, finds common prefixes of neighbours as Kasai does (a position whose
 predecessor agrees inherits its length less one) and so the windows that occur
-twice. Shards that share an anchor too frequent for one task get its windows one
+twice. (A segment of which there are two needs no comparison; it is sorted with
+those of its anchor of which there is one.) Shards that share an anchor too frequent for one task get its windows one
 by one, dealt by the windows' own hash. The verdicts are merged into the blocks
 by binary search.
 """
@@ -30,11 +31,9 @@ from feedmill.llm.common import written
 from feedmill.llm.flat import mixed, ranges, spans_hashed
 
 WINDOW = 200
-GRAM = 128
+GRAM = 64
 #: Bytes of segments whose suffixes are sorted together.
-SHARD = 3 << 20
-#: Anchors of one owner, about.
-OWNER_ROWS = 1_500_000
+SHARD = 3 << 19
 #: An anchor with more occurrences has its windows dealt one by one.
 HOT = 5_000
 
@@ -179,7 +178,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for i in range(8):
         key = (key << np.uint64(8)) | padded[i : i + n]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     sorted_key = key[order]
     del key
     # Near the end of the text zero padding may tie with real zero bytes; ranks by position settle that.
@@ -198,7 +197,8 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         # A suffix that ends within h bytes goes before the longer ones.
         short = suffix + h > n
         follow[short] = -suffix[short] - 1
-        by = np.lexsort((follow, own))
+        # Ranks are at most n, and the negative ones of short suffixes at least -n.
+        by = np.argsort(own * (2 * n + 2) + follow + n)
         suffix, own, follow = suffix[by], own[by], follow[by]
         order[open_] = suffix
         new = np.ones(len(open_), bool)
@@ -210,9 +210,11 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     return order
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
+def common_prefixes(text: np.ndarray, order: np.ndarray, least: int = 0) -> np.ndarray:
     """For each suffix in order, the bytes it shares with the one before; the first has 0.
 
+    Numbers under `least` may come out too small, which saves looking at single bytes.
+
     In text order a suffix whose preceding byte equals that before its neighbour
     has its predecessor's length less one. Only the others are compared.
     """
@@ -228,19 +230,18 @@ def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     words = np.zeros(n + 1, np.uint64)
     for i in range(8):
         words[:n] = (words[:n] << np.uint64(8)) | padded[i : i + n]
-    live = np.flatnonzero(before[roots] >= 0)
+    other = before[roots]
+    room = n - np.maximum(roots, other)
+    live = np.flatnonzero(other >= 0)
     while len(live):
-        a, b = roots[live] + length[live], before[roots[live]] + length[live]
-        inside = np.minimum(n - a, n - b)
-        gap = words[np.minimum(a, n)] ^ words[np.minimum(b, n)]
-        same = np.where(gap == 0, 8, 7 - (np.frexp(gap.astype(np.float64))[1] - 1) // 8)
-        # Rounding to a float can lift a gap just under a power of two: look at that byte again.
-        lifted = (gap != 0) & (same < 8)
-        shift = (np.uint64(8) * (7 - same[lifted]).astype(np.uint64))
-        same[lifted] += ((gap[lifted] >> shift) == 0).astype(np.int64)
-        same = np.minimum(same, inside)
-        length[live] += same
-        live = live[(same == 8) & (inside > 8)]
+        live = live[room[live] - length[live] >= 8]
+        live = live[words[roots[live] + length[live]] == words[other[live] + length[live]]]
+        length[live] += 8
+    live = np.flatnonzero((other >= 0) & (length + 7 >= least))
+    for _ in range(7):
+        live = live[room[live] > length[live]]
+        live = live[text[roots[live] + length[live]] == text[other[live] + length[live]]]
+        length[live] += 1
     last = np.maximum.accumulate(np.where(heir, 0, here))
     by_place = np.zeros(n, np.int64)
     by_place[roots] = length
@@ -250,7 +251,7 @@ def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
 def repeated_windows(texts: np.ndarray, sizes: np.ndarray, copies: np.ndarray) -> np.ndarray:
     """For each window start of each distinct segment, whether its 200 bytes occur twice in all."""
     order = suffix_array(texts)
-    shared = common_prefixes(texts, order)
+    shared = common_prefixes(texts, order, WINDOW)
     kind = np.empty(len(texts), np.int64)
     kind[order] = np.cumsum(shared < WINDOW)
     starts = np.cumsum(sizes) - sizes
@@ -269,12 +270,18 @@ def _judge(table: pa.Table) -> pa.Table:
     starts = np.cumsum(size) - size
     first, _, back = _distinct(buf, starts, size, keys)
     weight = np.bincount(back, copies).astype(np.int64)
-    flags: list[np.ndarray] = [np.zeros(0, bool)] * len(first)
-    order = np.argsort(keys[first], kind="stable")  # segments of one anchor stay together
+    # All windows of a segment with two copies occur twice. What is left to find out is which windows of
+    # segments with one copy occur in others of their anchor.
+    windows = size[first] - WINDOW + 1
+    flags: list[np.ndarray] = [np.ones(k, bool) for k in windows.tolist()]
+    order = np.argsort(keys[first], kind="stable")
+    group = np.cumsum(np.diff(keys[first][order], prepend=~keys[first][order[:1]]) != 0) - 1
+    lone = np.bincount(group, weight[order] == 1) > 0
+    order, group = order[lone[group]], group[lone[group]]
     total, a = 0, 0
-    for i, f in enumerate(order):
+    for i, f in enumerate(order.tolist()):
         total += size[first[f]]
-        if i + 1 == len(order) or (total >= SHARD and keys[first[order[i + 1]]] != keys[first[f]]):
+        if i + 1 == len(order) or (total >= SHARD and group[i + 1] != group[i]):
             part = order[a : i + 1]
             s = size[first[part]]
             found = repeated_windows(buf[ranges(starts[first[part]], s)], s, weight[part])
@@ -341,7 +348,7 @@ def remove_repeats(
     kind = dict(docs.dtypes)[id_col]
     blocks = packing.packed(docs, id_col, text_col)
     n_blocks = blocks.count()
-    n_owners = n_shards = max(1, n_blocks // 8)
+    n_owners, n_shards = max(1, n_blocks // 16), 2 * n_blocks
     told = blocks.mapInArrow(_tell(n_owners), "block long, owner long, hashes binary, counts binary")
     codes = written(told.groupBy("owner").applyInArrow(_answer(hot), "block long, owner long, codes binary"), "codes")
     texts = blocks.select("block", "sizes", "blob")
