@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.common import whole
+from feedmill.llm.common import slices, whole
 
 # Elements of HTML by what they mean for the text.
 SKIPPED = "script style title textarea iframe noscript svg template select button object video audio canvas".split()
@@ -271,7 +271,7 @@ def main_text(page: str) -> str:
 
 
 def _extract(batches):
-    for batch in batches:
+    for batch in slices(batches):
         texts = [main_text(x) for x in batch["html"].to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch["id"], batch["url"], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.llm import flat
-from feedmill.llm.common import bytes_of, pieces, whole
+from feedmill.llm.common import bytes_of, pieces, slices, whole
 
 #: Bits of a hashed n-gram.
 BITS = 18
@@ -148,7 +148,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> dict:
 
 
 def _featured(batches):
-    for batch in batches:
+    for batch in slices(batches):
         texts = bytes_of(batch["text"])
         for a, b in pieces([len(t) for t in texts], TOGETHER):
             packed = [x.astype(np.int32).tobytes() for x in features(texts[a:b])]
@@ -192,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def _scorer(model: dict):
     def score(batches):
         both, squares = model["weights"] * model["ratios"], np.square(model["ratios"])
-        for batch in batches:
+        for batch in slices(batches):
             texts = bytes_of(batch["text"])
             scores: list[float] = []
             for a, b in pieces([len(t) for t in texts], TOGETHER):

@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.common import bytes_of, pieces, whole
+from feedmill.llm.common import bytes_of, pieces, slices, whole
 from feedmill.llm.flat import joined, ranges, spans_hashed
 
 SPACE = "▁"
 #: Distinct parts that a worker remembers between batches.
 REMEMBERED = 300_000
 #: Bytes of text whose parts are encoded together.
-TOGETHER = 2 << 20
+TOGETHER = 1 << 20
 NONE = np.int64(2**62)
 #: Odd factor of the hash tables; the next table takes its next power.
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -266,7 +266,7 @@ def load(model: str) -> Pieces:
 def _encoder(model: str, digests: bool):
     def encode(batches):
         tool = load(model)
-        for batch in batches:
+        for batch in slices(batches):
             texts = bytes_of(batch["text"])
             columns: list[list] = [[], [], []]
             for a, b in pieces([len(t) for t in texts], TOGETHER):
