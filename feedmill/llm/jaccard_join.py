@@ -11,7 +11,8 @@ Links are pairs of sets whose intersection is at least `percent` of their union.
    smallest is joined to each of the others, which keeps what hangs together together.
 4. Heavy sets are found by inverted lists of their rarest shingles. Every list
    joins its members to its first one; pairs that prove similar make components.
-   Lists that then still hold several components have their other pairs compared.
+   Lists that still hold several components have their other pairs compared, but
+   for those whose signatures differ in too many bits.
 5. The boundary between light and heavy is the size where the estimated number of
    subsets and list entries is least.
 """
@@ -37,6 +38,9 @@ from feedmill.llm.components import components
 COUNT_BITS = 40
 #: No boundary beyond this size is considered; subsets of larger sets are too many in any case.
 MAX_LIGHT = 40
+#: A signature has one bit per hash class of a set's shingles, set when the class has an odd number of them.
+#: Two sets differ in at least as many shingles as their signatures in bits.
+SIGNATURE = [f"bits{i}" for i in range(16)]
 SALTS = np.random.default_rng(7).integers(1, 2**63, 16, dtype=np.uint64) | np.uint64(1)
 
 
@@ -134,6 +138,7 @@ def _remain(width: int, percent: int):
 
     def remain(rows: pa.Table, news: pa.Table) -> pa.Table:
         out: dict[str, list] = {"sid": [], "n": [], "alone": [], "shared": [], "levels": []}
+        marks: list[np.ndarray] = [np.zeros((0, len(SIGNATURE)), np.int64)]
         told = news.filter(pc.is_valid(news["levels"]))
         places = _places(news.filter(pc.is_null(news["levels"])))
         order = np.argsort(told["owner"].to_numpy(), kind="stable")
@@ -152,8 +157,13 @@ def _remain(width: int, percent: int):
                     out["sid"].append(xxhash.xxh3_128_digest(sets[i].tobytes()))
                     out["n"].append(n), out["alone"].append(n - len(shared))
                     out["shared"].append(shared[by].tobytes()), out["levels"].append(own[by].tobytes())
+                    classes = (sets[i] >> np.uint64(20)) % np.uint64(64 * len(SIGNATURE))
+                    odd = np.bincount(classes.astype(np.int64), minlength=64 * len(SIGNATURE)) & 1
+                    marks.append(np.packbits(odd.astype(np.uint8)).view(np.int64)[None])
         kinds = [pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-        return pa.table({c: pa.array(v, k) for (c, v), k in zip(out.items(), kinds, strict=True)})
+        table = {c: pa.array(v, k) for (c, v), k in zip(out.items(), kinds, strict=True)}
+        bits = np.concatenate(marks)
+        return pa.table(table | {c: pa.array(bits[:, i].copy(), pa.int64()) for i, c in enumerate(SIGNATURE)})
 
     return remain
 
@@ -266,8 +276,16 @@ def _near(n: str, m: str, percent: int):
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
-def set_links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between distinct sets, enough of them that all that hangs together does."""
+def _mixed_lists(entries: DataFrame, labels: DataFrame, light: int) -> DataFrame:
+    """Entries, with their component, of the lists that hold several components and a heavy set."""
+    placed = entries.join(labels.withColumnRenamed("v", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    mixed = placed.groupBy("shingle").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.max("n").alias("most"))
+    mixed = mixed.where((F.col("one") != F.col("other")) & (F.col("most") > light)).select("shingle")
+    return placed.join(mixed, "shingle", "left_semi")
+
+
+def set_components(sets: DataFrame, percent: int) -> DataFrame:
+    """(v, label) of distinct sets that are linked; label is the same for all that hang together."""
     by_size = sets.where(F.col("n") <= MAX_LIGHT).select("n", "alone", "levels").mapInArrow(_scan_cost(percent), "n long, scan long")
     counts = by_size.groupBy("n").agg(F.count(F.lit(1)).alias("k"), F.sum("scan").alias("scan")).collect()  # MAX_LIGHT rows
     light = boundary([(r["n"], r["k"], r["scan"]) for r in counts], percent)
@@ -288,26 +306,37 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame:
     )
     heads = heads.where((F.col("k") > 1) & (F.col("most") > light))
     stars = entries.join(heads, "shingle").where((F.col("sid") != F.col("a")) & _near("n", "n_a", percent))
-    tried = written(stars.select("a", F.col("sid").alias("b")).distinct(), "pairs")
+    tried = written(stars.select(F.least("a", "sid").alias("a"), F.greatest("a", "sid").alias("b")).distinct(), "pairs")
     found = written(light_links.distinct().unionByName(_verified(tried, sets, percent)), "found")
 
-    labels = components(found)
-    placed = entries.join(labels.withColumnRenamed("v", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    mixed = placed.groupBy("shingle").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.max("n").alias("most"))
-    mixed = mixed.where((F.col("one") != F.col("other")) & (F.col("most") > light)).select("shingle")
-    open_ = written(placed.join(mixed, "shingle", "left_semi"), "open")
-    other = open_.select("shingle", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b"), F.col("label").alias("label_b"))
+    labels = written(components(found), "labels")
+    open_ = _mixed_lists(entries, labels, light).join(sets.select("sid", *SIGNATURE), "sid")
+    open_ = written(open_, "open")
+    other = open_.select(
+        "shingle", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b"), F.col("label").alias("label_b"),
+        *[F.col(c).alias(f"{c}_b") for c in SIGNATURE],
+    )
     # At the first common shingle of a similar pair, what is left of either set must do.
     enough = F.least("rest", "rest_b") * (100 + percent) >= (F.col("n") + F.col("n_b")) * percent
+    differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))) for c in SIGNATURE), F.lit(0))
+    alike = (F.col("n") + F.col("n_b") - differ) * (100 + percent) >= (F.col("n") + F.col("n_b")) * (2 * percent)
     pairs = (
         open_.join(other, "shingle")
-        .where((F.col("label") < F.col("label_b")) & (F.greatest("n", "n_b") > light) & _near("n", "n_b", percent) & enough)
+        .where((F.col("label") < F.col("label_b")) & (F.greatest("n", "n_b") > light) & _near("n", "n_b", percent) & enough & alike)
         .select(F.least("sid", "b").alias("a"), F.greatest("sid", "b").alias("b"))
         .distinct()
         .join(tried, ["a", "b"], "left_anti")
     )
-    late = written(_verified(pairs, sets, percent), "found")
-    return found.unionByName(late)
+    # What the late links join are components: of the links between two of them one is enough.
+    late = _verified(pairs, sets, percent)
+    for end in ("a", "b"):
+        known = labels.select(F.col("v").alias(end), F.col("label").alias(f"label_{end}"))
+        late = late.join(known, end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
+    joined = written(late.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct(), "found")
+    upper = components(joined).select(F.col("v").alias("label"), F.col("label").alias("top"))
+    lone = upper.select(F.col("label").alias("v"), "top").join(labels.select("v"), "v", "left_anti")
+    lower = labels.join(upper, "label", "left").select("v", F.coalesce("top", "label").alias("label"))
+    return lower.unionByName(lone.select("v", F.col("top").alias("label")))
 
 
 def jaccard_components(
@@ -323,7 +352,7 @@ def jaccard_components(
     kind = dict(docs.dtypes)[id_col]
     blocks = packing.packed(docs, id_col, text_col)
     n_blocks = blocks.count()
-    n_owners = max(1, n_blocks // 8)
+    n_owners = max(1, n_blocks // 4)
     rows = written(
         blocks.mapInArrow(_describe(width), f"block long, place long, id {kind}, n long, sid binary"), "sets"
     )
@@ -340,11 +369,11 @@ def jaccard_components(
     )
     sets = written(
         texts.groupBy("block").cogroup(news.groupBy("block")).applyInArrow(
-            _remain(width, percent), "sid binary, n long, alone long, shared binary, levels binary"
+            _remain(width, percent), "sid binary, n long, alone long, shared binary, levels binary, " + ", ".join(f"{c} long" for c in SIGNATURE)
         ),
         "remaining",
     )
-    labels = components(set_links(sets, percent))
+    labels = set_components(sets, percent)
     classed = first.join(labels.withColumnRenamed("v", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     least = classed.groupBy("label").agg(F.min("least").alias("component_id"))
     classes = written(classed.select("sid", "label").join(least, "label").select(F.col("sid").alias("s"), "component_id"), "classes")
@@ -355,7 +384,11 @@ def jaccard_components(
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
-    """The rows of `docs` whose id is that of their component; rows without an id stay."""
+    """The rows of `docs` whose id is that of their component; rows without an id stay.
+
+    Rows that repeat an id stay if one of them is the first of its component.
+    """
     found = jaccard_components(docs, id_col, text_col, **more)
-    gone = written(found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__id")).distinct(), "gone")
+    first = F.max(F.col(id_col) == F.col("component_id"))
+    gone = written(found.groupBy(F.col(id_col).alias("__id")).agg(first.alias("first")).where("not first").select("__id"), "gone")
     return docs.join(gone, F.col(id_col) == F.col("__id"), "left_anti").select(*docs.columns)
