@@ -3,9 +3,9 @@
 Word counts of all training documents are summed by owners of hash ranges. The
 attention model reads subword ids: one masked attention over a window of ids
 gives the mixing weights of a few expert distributions over all ids. It is
-trained in numpy where the data lie: every training document gives a window,
+trained in numpy where the data lie: training texts give all their windows,
 partitions train from the same start, and their weights are averaged, round by
-round. Long texts are scored in overlapping windows, each id once.
+round; a window is in one of the rounds. Long texts are scored in overlapping windows, each id once.
 
 A word's probability is a mix of the model's and the add-one share of the word
 in the corpus; the model's is that of its pieces and of a word's end after them,
@@ -14,6 +14,8 @@ so that both are distributions over words.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -35,6 +37,8 @@ ROUNDS, RATE = 4, 0.06
 STEPS = 60
 #: Windows of one training step and of one scoring batch.
 STEP, BATCH = 64, 256
+#: Windows that a training task holds and shuffles at a time: `STEPS` steps or more.
+POOL = 1 << 14
 #: Weight of the attention model in the mix.
 SHARE = 0.45
 CHUNK = 1 << 16
@@ -54,10 +58,9 @@ class Words:
         self.first = np.searchsorted(self.starts, at)
         self.values, self.back = np.unique(self.hashes, return_inverse=True)
 
-    def spoken(self, doc: int, first: int = 0, most: int | None = None) -> bytes:
-        """Words of a document with one space between them."""
-        a, b = self.first[doc] + first, self.first[doc + 1]
-        b = b if most is None else min(b, a + most)
+    def spoken(self, doc: int) -> bytes:
+        """The words of a document with one space between them."""
+        a, b = self.first[doc], self.first[doc + 1]
         buf = self.buf[self.starts[a] : self.ends[b - 1]] if b > a else self.buf[:0]
         return b" ".join(buf.tobytes().replace(SPACE.encode(), b"_").split())
 
@@ -104,29 +107,27 @@ def _sum(table: pa.Table) -> pa.Table:
     )
 
 
-def _sample(model: str):
-    """A window of ids from every training document, at a place that its hash tells."""
+def _windows(model: str):
+    """All windows of ids of every training text. Each id, and the end, is a target once."""
 
-    def sample(batches):
+    def windows(batches):
         tool = load(model)
         for batch in batches:
             for ids, sizes, blob in zip(*(batch[c].to_pylist() for c in ("ids", "sizes", "blob")), strict=True):
                 w = Words(sizes, blob)
-                texts, begins, ends = [], [], []
-                for i in np.flatnonzero(~_held_out(ids)).tolist():
-                    n = int(w.first[i + 1] - w.first[i])
-                    at = int(w.hashes[w.first[i]] % np.uint64(max(1, n - WINDOW // 2))) if n else 0
-                    texts.append(w.spoken(i, at, WINDOW)), begins.append(at == 0), ends.append(at + WINDOW >= n)
-                found, k = tool.encode(texts)
-                rows = np.full((len(texts), WINDOW + 1), -1, np.int32)
-                parts = np.split(found, np.cumsum(k)[:-1]) if texts else []
-                for j, (x, begin, end) in enumerate(zip(parts, begins, ends, strict=True)):
-                    # What starts at a text's start follows BEGIN, what reaches its end is followed by END.
-                    x = np.concatenate([[BEGIN] if begin else [], x, [END] if end else []])[: WINDOW + 1]
-                    rows[j, : len(x)] = x
+                found, k = tool.encode([w.spoken(i) for i in np.flatnonzero(~_held_out(ids)).tolist()])
+                k = np.asarray(k, np.int64)
+                stops = np.cumsum(k + 2)
+                starts = stops - k - 2
+                flow = np.empty(int((k + 2).sum()), np.int32)
+                flow[starts], flow[stops - 1], flow[flat.ranges(starts + 1, k)] = BEGIN, END, found
+                n = k // WINDOW + 1
+                base = np.repeat(starts, n) + flat.ranges(np.zeros_like(n), n) * WINDOW
+                at = base[:, None] + np.arange(WINDOW + 1)
+                rows = np.where(at < np.repeat(stops, n)[:, None], flow[np.minimum(at, len(flow) - 1)], -1).astype(np.int32) if len(k) else at
                 yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64()), pa.array([rows.tobytes()], pa.binary())], ["n", "windows"])
 
-    return sample
+    return windows
 
 
 def shapes(n_ids: int) -> dict[str, tuple[int, ...]]:
@@ -208,39 +209,64 @@ def gradients(p: dict, experts: np.ndarray, rows: np.ndarray) -> dict[str, np.nd
     }
 
 
-def train(vector: np.ndarray, rows: np.ndarray, n_ids: int, seed: int) -> np.ndarray:
-    """The weights after a pass over windows of ids, and `STEPS` steps at least, by Adam."""
+def train(vector: np.ndarray, pools: Iterable[np.ndarray], n_ids: int, seed: int) -> np.ndarray:
+    """The weights after a pass over pools of windows of ids, and `STEPS` steps at least, by Adam."""
     vector = vector.copy()
     mean, square = np.zeros_like(vector), np.zeros_like(vector)
     rng = np.random.default_rng(seed)
-    times = -(-STEPS * STEP // max(1, len(rows)))
-    order = np.concatenate([rng.permutation(len(rows)) for _ in range(max(1, times))])
-    for step, at in enumerate(range(0, len(order), STEP), 1):
-        p = unpack(vector, n_ids)
-        grads = gradients(p, _softmax(p["experts"].T).T, rows[order[at : at + STEP]])
-        g = np.concatenate([grads[name].ravel() for name in shapes(n_ids)]).astype(np.float32)
-        mean += 0.1 * (g - mean)
-        square += 0.01 * (g * g - square)
-        vector -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + np.float32(1e-6))
-        np.clip(vector, -30, 30, out=vector)
+    step = 0
+    for rows in pools:
+        # Only a pool that is the first and last can be too short.
+        times = 1 if step else -(-STEPS * STEP // max(1, len(rows)))
+        order = np.concatenate([rng.permutation(len(rows)) for _ in range(max(1, times))])
+        for at in range(0, len(order), STEP):
+            step += 1
+            p = unpack(vector, n_ids)
+            grads = gradients(p, _softmax(p["experts"].T).T, rows[order[at : at + STEP]])
+            g = np.concatenate([grads[name].ravel() for name in shapes(n_ids)]).astype(np.float32)
+            mean += 0.1 * (g - mean)
+            square += 0.01 * (g * g - square)
+            vector -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + np.float32(1e-6))
+            np.clip(vector, -30, 30, out=vector)
     return vector
 
 
+def _pools(batches, compact: np.ndarray, round_: int) -> Iterator[np.ndarray]:
+    """A round's windows of a partition, every window in one of the rounds, in arrays of `POOL` about."""
+    parts, held, seen = [], 0, 0
+    for batch in batches:
+        for i in range(batch.num_rows):
+            rows = np.frombuffer(batch["windows"][i].as_py(), np.int32).reshape(-1, WINDOW + 1)
+            mine = rows[(round_ - seen) % ROUNDS :: ROUNDS]
+            seen += len(rows)
+            if len(mine):
+                parts.append(np.where(mine < 0, -1, compact[mine]).astype(np.int32))
+                held += len(mine)
+            if held >= POOL:
+                yield np.concatenate(parts)
+                parts, held = [], 0
+    if parts:
+        yield np.concatenate(parts)
+
+
 def _round(shared, round_: int):
     def one_round(batches):
-        parts = []
-        for batch in batches:
-            parts.extend(np.frombuffer(x, np.int32).reshape(-1, WINDOW + 1) for x in batch["windows"].to_pylist())
-        rows = np.concatenate([np.zeros((0, WINDOW + 1), np.int32), *parts])
-        rows = rows[np.arange(len(rows)) % ROUNDS == round_]  # every window in one of the rounds
-        if len(rows):
-            vector, compact = shared.value
-            rows = np.where(rows < 0, -1, compact[rows]).astype(np.int32)
-            vector = train(vector, rows, int(compact.max()) + 1, round_) * np.float32(len(rows))
+        vector, compact = shared.value
+        used = 0
+
+        def counted():
+            nonlocal used
+            for rows in _pools(batches, compact, round_):
+                used += len(rows)
+                yield rows
+
+        vector = train(vector, counted(), int(compact.max()) + 1, round_)
+        if used:
+            vector *= np.float32(used)
             cuts = range(0, len(vector), CHUNK)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(range(len(cuts)), pa.int64()), pa.array([float(len(rows))] * len(cuts)),
+                    pa.array(range(len(cuts)), pa.int64()), pa.array([float(used)] * len(cuts)),
                     pa.array([vector[i : i + CHUNK].tobytes() for i in cuts], pa.binary()),
                 ],
                 ["chunk", "weight", "part"],
@@ -258,7 +284,7 @@ def _average(table: pa.Table) -> pa.Table:
 def trained(windows: DataFrame, n_ids: int) -> tuple[np.ndarray, np.ndarray]:
     """The averaged weights, of a size that the vocabulary bounds, and the model's number of each id.
 
-    Ids that no window has share the number 0.
+    Ids that no training text has share the number 0.
     """
     spark = windows.sparkSession
 
@@ -266,7 +292,7 @@ def trained(windows: DataFrame, n_ids: int) -> tuple[np.ndarray, np.ndarray]:
         total = np.zeros(n_ids, np.int64)
         for batch in batches:
             for x in batch["windows"].to_pylist():
-                found = np.frombuffer(x, np.int32)
+                found = np.frombuffer(x, np.int32).reshape(-1, WINDOW + 1)[:, 1:]  # targets: each id once
                 total += np.bincount(found[found >= 0], minlength=n_ids)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], ["i", "n"])
@@ -399,7 +425,7 @@ def lm_score(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str
     n_train = ids.where(F.coalesce(key != HELD_OUT, F.lit(True))).count()
     sums = counts.agg(F.sum("tokens"), F.sum("distinct")).first()
     totals = (sums[0] or 0) + n_train, (sums[1] or 0) + (n_train > 0)
-    windows = written(blocks.mapInArrow(_sample(model), "n long, windows binary"), "windows")
+    windows = written(blocks.mapInArrow(_windows(model), "n long, windows binary"), "windows")
     shared = spark.sparkContext.broadcast(trained(windows, load(model).n))
     rows = blocks.groupBy("block").cogroup(counts.select("block", "owner", "counts").groupBy("block")).applyInArrow(
         _score(shared, model, n_train, totals),

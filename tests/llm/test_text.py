@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from feedmill.llm import html_text, lm_score, quality_classifier, sentence_pieces
@@ -138,6 +139,41 @@ def test_scores_of_a_table(spark, model):
     assert lm_score.lm_score(df.limit(0), model).count() == 0
 
 
+def test_model_learns_from_whole_texts(spark, model, library, monkeypatch):
+    """Every id of every training text, and its end, is a target once and has a number of its own."""
+    texts = [*ODD, prose(random.Random(8), 3000), *some_texts(3, 30)]
+    seen = {}
+
+    def noted(windows, n_ids):
+        rows = [np.frombuffer(r.windows, np.int32).reshape(-1, lm_score.WINDOW + 1) for r in windows.collect()]
+        seen["rows"], seen["made"] = np.concatenate(rows), trained(windows, n_ids)
+        return seen["made"]
+
+    trained = lm_score.trained
+    monkeypatch.setattr(lm_score, "trained", noted)
+    monkeypatch.setattr(lm_score, "STEPS", 1)
+    lm_score.lm_score(docs_table(spark, texts), model).count()
+    spoken = [" ".join(words(lower(t))).replace(sentence_pieces.SPACE, "_") for i, t in enumerate(texts) if not is_held_out(i, 7)]
+    wanted = [[*library.encode(t), lm_score.END] for t in spoken]
+    rows, found, text = seen["rows"], [], []
+    for row in rows:
+        if row[0] == lm_score.BEGIN:
+            text = []
+            found.append(text)
+        text.extend(row[1:][row[1:] >= 0].tolist())
+    assert sorted(found) == sorted(wanted)
+    compact = seen["made"][1]
+    assert all(compact[i] > 0 for t in wanted for i in t)
+
+
+def test_every_window_is_in_one_round(monkeypatch):
+    monkeypatch.setattr(lm_score, "POOL", 5)
+    rows = np.arange(23 * (lm_score.WINDOW + 1), dtype=np.int32).reshape(23, -1)
+    batch = pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in np.split(rows, [4, 5, 5, 17])])], ["windows"])
+    pools = [p for r in range(lm_score.ROUNDS) for p in lm_score._pools([batch], np.arange(rows.size), r)]
+    assert sorted(map(tuple, np.concatenate(pools))) == sorted(map(tuple, rows))
+
+
 def test_classifier_tells_unseen_junk(spark):
     rng = random.Random(4)
     texts, labels = list(ODD), []
