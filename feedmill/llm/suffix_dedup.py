@@ -77,12 +77,13 @@ class Windows:
         ends = np.append(starts[1:], len(least))
         inside = valid[starts]
         self.starts, self.ends = starts[inside], ends[inside]
-        self.anchors = least[self.starts]
+        # Minima lie near 0. They are mixed before they are dealt, so that equal ranges hold equal parts.
+        self.anchors = mixed(least[self.starts])
         # Every gram that is the least of some window counts as an occurrence of its anchor.
         shown = np.where(valid[:-1], least, np.uint64(0))
         pad = np.zeros(w - 1, np.uint64)
         chosen = grams == _sliding(np.concatenate([pad, shown, pad]), w, np.maximum)[: len(grams)]
-        self.values, self.counts = np.unique(grams[chosen], return_counts=True)
+        self.values, self.counts = np.unique(mixed(grams[chosen]), return_counts=True)
 
 
 def _tell(n_owners: int):

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 
 from feedmill.llm import blocks, exact_dedup, golomb, jaccard_join, suffix_dedup
 from tests.llm.helpers import ODD, components, docs_table, some_texts
@@ -116,3 +117,13 @@ def test_jaccard_of_odd_tables(spark):
     rows = jaccard_join.jaccard_components(df.union(df)).collect()
     assert {r.doc_id: r.component_id for r in rows} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 6, 7: 6, 8: 6}
     assert sorted(r.doc_id for r in jaccard_join.one_of_each(df).collect()) == [0, 1, 2, 3, 4, 5, 6]
+
+
+def test_anchors_are_dealt_in_equal_parts():
+    rng = random.Random(6)
+    text = b" ".join(b"%x" % rng.randrange(1 << 24) for _ in range(40_000))
+    w = suffix_dedup.Windows(np.array([len(text)], np.int64).tobytes(), zstandard.compress(text))
+    assert set(w.anchors.tolist()) <= set(w.values.tolist()) and (np.diff(w.values.astype(object)) > 0).all()
+    for found in (w.anchors, w.values):
+        n = np.bincount(blocks.owners(found, 32), minlength=32)
+        assert n.min() > 0 and n.max() < 2 * n.mean()
