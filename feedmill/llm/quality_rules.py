@@ -12,6 +12,8 @@ part, make up the half. No group is ever gathered, whatever its size.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -28,8 +30,8 @@ FEATURES = ["f_length", "f_symbols", "f_lines", "f_repeats", "f_upper"]
 FLOOR = [0.06, 0.10, 0.10, 0.10, 0.10]
 MIN_WORDS = 50
 MAX_REPEATS_PCT = 50
-#: Share of a group that the estimate rests on.
-SUPPORT = 0.75
+#: Share of a group that the estimate rests on; at 0.5, (n + p + 1) // 2 documents of n with p features.
+SUPPORT = 0.5
 STEPS = 4
 #: Squared distances beyond this are rejected: the 1 - 1e-7 quantile of chi-square with 5 degrees is 40.9.
 CUTOFF = 41.0
@@ -110,20 +112,40 @@ def _moments(p: int) -> list:
     return [F.count(F.lit(1)).alias("n"), *sums, *cross]
 
 
-def _estimate(support: float):
+def _chi_square(x: float, p: int) -> float:
+    """P(chi-square with an odd number p of degrees <= x)."""
+    total, term = 0.0, math.sqrt(2 * x / math.pi) * math.exp(-x / 2)
+    for k in range(1, p, 2):
+        total, term = total + term, term * x / (k + 2)
+    return math.erf(math.sqrt(x / 2)) - total
+
+
+def consistency(share: float, p: int) -> float:
+    """What the scatter of the nearest `share` of normal data is multiplied with to be that of all."""
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (mid, high) if _chi_square(mid, p) < share else (low, mid)
+    return share / _chi_square(low, p + 2) if share < 1 else 1.0
+
+
+def _estimate(support: float, consistent: bool = False):
     p = len(FEATURES)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         """Mean and inverse scatter of the share `support` with the smallest distances of a group."""
         pdf = pdf.sort_values("bin")
         n = pdf["n"].to_numpy(float)
-        h = min(n.sum(), np.floor(support * n.sum()) + 1)
+        half = (n.sum() + p + 1) // 2
+        h = max(1.0, min(n.sum(), np.floor(2 * half - n.sum() + 2 * (n.sum() - half) * support)))
         take = np.clip(h - (np.cumsum(n) - n), 0, n) / n
         mean = np.array([(take * pdf[f"s{i}"].to_numpy()).sum() for i in range(p)]) / h
         cov = np.empty((p, p))
         for i in range(p):
             for j in range(i + 1):
                 cov[i, j] = cov[j, i] = (take * pdf[f"c{i}{j}"].to_numpy()).sum() / h - mean[i] * mean[j]
+        if consistent:
+            cov *= consistency(h / n.sum(), p)
         inverse = np.linalg.inv(cov + np.diag(np.square(FLOOR)))
         row = {"g_lang": pdf["lang"].iloc[0], "g_source": pdf["source"].iloc[0], "size": int(n.sum())}
         return pd.DataFrame([row | {"mean": mean.tolist(), "inverse": inverse.ravel().tolist()}])
@@ -151,7 +173,7 @@ def _with(rows: DataFrame, params: DataFrame) -> DataFrame:
 
 
 def _start(rows: DataFrame) -> DataFrame:
-    """Medians and quartile ranges of each feature, from counts of fine steps by group."""
+    """Medians of each feature and of the distances from them, from counts of fine steps by group."""
     step = 64.0
     steps = F.explode(
         F.array(*[F.struct(F.lit(i).alias("f"), F.round(F.col(f) * step).cast("int").alias("v")) for i, f in enumerate(FEATURES)])
@@ -160,11 +182,17 @@ def _start(rows: DataFrame) -> DataFrame:
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         mean, inverse = [0.0] * len(FEATURES), np.zeros((len(FEATURES), len(FEATURES)))
-        for f, part in pdf.sort_values("v").groupby("f"):
-            share = part["n"].cumsum().to_numpy() / part["n"].sum()
-            low, mid, high = (float(part["v"].iloc[np.searchsorted(share, q)]) / step for q in (0.25, 0.5, 0.75))
-            mean[f] = mid
-            inverse[f, f] = 1 / (((high - low) / 1.349) ** 2 + FLOOR[f] ** 2)
+
+        def median(v: np.ndarray, n: np.ndarray) -> float:
+            order = np.argsort(v, kind="stable")
+            return float(v[order][np.searchsorted(np.cumsum(n[order]), n.sum() / 2)]) / step
+
+        for f, part in pdf.groupby("f"):
+            v, n = part["v"].to_numpy(), part["n"].to_numpy()
+            mean[f] = median(v, n)
+            # Unlike quartiles, this isn't moved by a third of outliers.
+            spread = 1.4826 * median(np.abs(v - mean[f] * step), n)
+            inverse[f, f] = 1 / (spread**2 + FLOOR[f] ** 2)
         row = {"g_lang": pdf["lang"].iloc[0], "g_source": pdf["source"].iloc[0], "size": int(pdf["n"].sum() // len(FEATURES))}
         return pd.DataFrame([row | {"mean": mean, "inverse": inverse.ravel().tolist()}])
 
@@ -177,7 +205,7 @@ def minimum_covariance(rows: DataFrame, steps: int = STEPS, support: float = SUP
     for _ in range(steps):
         bins = F.floor(F.log2(_distance() + 1e-6) * BINS_PER_OCTAVE).cast("int")
         sums = _with(rows, params).withColumn("bin", bins).groupBy("lang", "source", "bin").agg(*_moments(len(FEATURES)))
-        params = written(sums.groupBy("lang", "source").applyInPandas(_estimate(support), PARAMS), "mcd")
+        params = written(sums.groupBy("lang", "source").applyInPandas(_estimate(support, True), PARAMS), "mcd")
     return params
 
 

@@ -152,6 +152,25 @@ def test_estimate_is_that_of_the_concentrated_half():
     assert np.allclose(np.linalg.inv(np.array(row["inverse"]).reshape(5, 5)), cov, atol=0.1)
 
 
+def test_a_third_of_identical_outliers_goes(spark):
+    """A hot third of copies of junk doesn't become the group's centre, nor hide other outliers."""
+    rng = random.Random(9)
+    texts = [prose(rng, rng.randint(60, 200), 900) for _ in range(200)]
+    junk = " ".join(f"{w}$$$" for w in prose(rng, 90, 900).split())
+    other = " ".join(w.upper() * 9 for w in prose(rng, 90, 900).split())
+    rows = [(i, t, "en", "s") for i, t in enumerate([*texts, *[junk] * 100, other])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id for r in quality_rules.quality_rules(df).where("kept").collect()}
+    assert kept == set(range(200))
+
+
+def test_scatter_of_the_half_is_made_consistent():
+    assert quality_rules._chi_square(11.0705, 5) == pytest.approx(0.95, abs=1e-5)
+    data = np.random.default_rng(1).normal(0, 1, (200_000, 5))
+    half = data[np.argsort((data**2).sum(axis=1))[:100_003]]
+    assert np.allclose(np.cov(half.T) * quality_rules.consistency(100_003 / 200_000, 5), np.eye(5), atol=0.02)
+
+
 def test_rules_of_odd_tables(spark):
     df = docs_table(spark, ODD)
     assert quality_rules.quality_rules(df.limit(0)).count() == 0
