@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from feedmill.llm.common import slices, whole
 
 # Elements of HTML by what they mean for the text.
-SKIPPED = "script style title textarea iframe noscript svg template select button object video audio canvas".split()
+RAW = "script style title textarea iframe noscript".split()  # all up to the end tag, or to the end of the page
+DROPPED = set("svg template select button object video audio canvas".split())  # up to the end tag, or to that of a parent
 BLOCKS = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p "
@@ -41,12 +42,13 @@ ENDS_BEFORE = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(SKIPPED) + r")\b[^<>]*+>.*?(?:</(?P=raw)\b[^>]*+(?:>|\Z)|\Z)"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^<>]*+>.*?(?:</(?P=raw)\b[^>]*+(?:>|\Z)|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-z][^\s/<>]*+)(?P<attrs>(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[a-z][^<>]*+(?:>|\Z)"
     r"|<[!?/][^>]*+(?:>|\Z)",
     re.S | re.I,
 )
+DROPPED_END = re.compile(r"</(" + "|".join(sorted(DROPPED)) + r")(?=[\s/>])", re.I)
 ATTR = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -210,7 +212,8 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
     out: list[tuple[str, int, int, int]] = []
     run: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, int]] = []
+    stack: list[tuple[str, int, bool]] = []  # name, place, whether its text is dropped
+    last_end = {m[1].lower(): m.start() for m in DROPPED_END.finditer(page)}
     links = 0
 
     def close() -> None:
@@ -220,7 +223,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
         run.clear(), linked.clear()
 
     def say(text: str) -> None:
-        if text:
+        if text and not (stack and stack[-1][2]):
             text = html.unescape(text)
             run.append(text)
             if links:
@@ -236,13 +239,17 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
         name = name.lower()
         if name in BREAKS:
             say(" ")
-        if name in BLOCKS:
+        inner = bool(stack) and stack[-1][2]
+        if inner and m["end"]:
+            # Does it end something inside the dropped element, or the element itself?
+            inner = next((d for x, _, d in reversed(stack) if x == name), True)
+        if name in BLOCKS and not inner:
             close()
         if m["end"]:
             if name == "a":
                 links = 0
                 linked.append(" ")
-            if any(x == name for x, _ in stack):
+            if any(x == name for x, _, _ in stack):
                 while stack.pop()[0] != name:
                     pass
         elif name == "a":
@@ -250,9 +257,16 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
         elif name not in VOID and not (name in ("html", "body") and stack):
             while stack and name in ENDS_BEFORE.get(stack[-1][0], ()):
                 stack.pop()
-            outer = stack[-1][1] if stack else PLAIN
-            if name in BLOCKS or name == "span":
-                stack.append((name, _place(name, m["attrs"], outer)))
+            if name == "button" and any(x == name for x, _, _ in stack):  # buttons don't nest
+                while stack.pop()[0] != name:
+                    pass
+            outer, within = stack[-1][1:] if stack else (PLAIN, False)
+            if name in DROPPED:
+                # What is never ended, and an svg that ends itself, is empty.
+                if last_end.get(name, -1) >= at and not (name == "svg" and m["attrs"].endswith("/")):
+                    stack.append((name, outer, True))
+            elif name in BLOCKS or name == "span":
+                stack.append((name, outer if within else _place(name, m["attrs"], outer), within))
     say(page[at:])
     close()
     return out

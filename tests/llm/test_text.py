@@ -77,6 +77,21 @@ def test_main_text_of_a_page():
     assert html_text.main_text(f"<div><a>Home</a></div><div>{long}</div><div>{long}</div><div><a>More</a></div>") == "\n".join([long.strip()] * 2)
 
 
+def test_dropped_elements_end_with_their_parent():
+    for page, text in (
+        ('<p>One <svg class="i"/>two</p><p>Three <svg><text>no</text></svg>four</p>', "One two\nThree four"),
+        ("<p>One <button>no</p><p>Two</p><div><button>no</button></div><p>Three</p>", "One\nTwo\nThree"),
+        ("<p>One</p><video src=a><p>Two</p>", "One\nTwo"),
+        ("<div><p>One</p><object>no</div><p>Two</p><p>x <object><p>no</p></object>y</p>", "One\nTwo\nx y"),
+        ("<video-player><p>One</p></video-player><button-group>Two</button-group>", "One\nTwo"),
+        ("<p>One</p><select><option>no<option>no</select><script>no<p>no", "One"),
+        ("<p>A <button title='x>y'>no</button> b <canvas>no</canvas>c</p>", "A b c"),
+    ):
+        assert html_text.main_text(f"<article>{page}") == text
+    for page in ("<object>" * 3000 + "</object>", "<button>" * 20000 + "</button>", "<svg>" * 3000 + "</p>" * 3000 + "</svg>"):
+        html_text.main_text(page)
+
+
 def test_broken_markup_takes_no_quadratic_time():
     for page in ("<a" * 100000, '<a "' * 20000, "<" * 100000, "<script>" * 20000, "<p>" * 50000):
         html_text.main_text(page)
