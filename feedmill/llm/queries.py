@@ -17,17 +17,25 @@ from feedmill.llm.quality_classifier import classify, train
 from feedmill.llm.quality_rules import quality_rules
 from feedmill.llm.sentence_pieces import encode_pieces
 from feedmill.llm.sharding import shard
+from feedmill.llm.simhash_trie import simhash_components
 from feedmill.llm.suffix_dedup import remove_repeats
+from feedmill.llm.token_alignment import align_tokens, check_same_ids
+from feedmill.llm.whitening import whiten
 
 
-def tokenizer_model(spark: SparkSession) -> str:
-    """The path of the SentencePiece model: the setting `feedmill.piece_model`, or the public files' own."""
-    path = spark.conf.get("feedmill.piece_model", None)
+def _file(spark: SparkSession, setting: str, name: str) -> str:
+    """The path of a vocabulary: a setting of the session, or the public files' own."""
+    path = spark.conf.get(setting, None)
     if path:
         return path
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
+
+
+def tokenizer_model(spark: SparkSession) -> str:
+    """The path of the SentencePiece model: the setting `feedmill.piece_model`, or the public files' own."""
+    return _file(spark, "feedmill.piece_model", "piece_bpe_32k.model")
 
 
 def op1_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +80,22 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(documents(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = _file(spark, "feedmill.byte_ranks", "byte_bpe_50k.tiktoken")
+    check_same_ids(_file(spark, "feedmill.byte_vocabulary", "byte_bpe_50k.json"), ranks)
+    return align_tokens(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN, tokenizer_model(spark))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(documents(spark, sf_dir))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(documents(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_remove_repeats": op1_remove_repeats,
     "op2_exact_dedup": op2_exact_dedup,
@@ -83,6 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_shard": op9_shard,
     "op10_html_text": op10_html_text,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_simhash": op12_simhash,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE: dict[str, str] = {

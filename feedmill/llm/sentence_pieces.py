@@ -7,8 +7,8 @@ symbol could join ranks before it, all its places in the word merge in the same
 round, the leftmost first; otherwise only the leftmost, so that the result is
 that of one merge at a time.
 
-A text is cut only where no piece reaches across, and each distinct part of a
-batch is encoded once.
+A text is cut only where no piece reaches across, and each distinct part is
+encoded once as long as a worker remembers it; two hashes tell parts apart.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.llm.common import bytes_of, pieces, slices, whole
-from feedmill.llm.flat import joined, ranges, spans_hashed
+from feedmill.llm.flat import joined, ranges
+from feedmill.llm.parts import Remembered
 
 SPACE = "▁"
 #: Distinct parts that a worker remembers between batches.
@@ -98,11 +99,7 @@ class Pieces:
         inner = {a + b for p in ids for a, b in zip(p, p[1:], strict=False)}
         if any(x[1] == SPACE != x[0] or "\n" in x for x in inner):
             raise ValueError("pieces that reach over the start of a word or a line feed are not supported")
-        self._forget()
-
-    def _forget(self) -> None:
-        """No known parts: their hashes in order, and where their ids are."""
-        self.known, self.at, self.size, self.flat = np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+        self.parts = Remembered(REMEMBERED)
 
     def _hash(self) -> None:
         """Tables of pair keys, each with those that found their place in the ones before taken."""
@@ -209,30 +206,15 @@ class Pieces:
         ends = np.append(starts[1:], len(buf))
         stay = ~np.isin(starts, ends_text, assume_unique=True)
         starts, ends = starts[stay], ends[stay]
-        hashes, first, back = np.unique(spans_hashed(buf, starts, ends), return_index=True, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))
-        new = self.known[at] != hashes if len(self.known) else np.ones(len(hashes), bool)
-        if len(self.known) > REMEMBERED:  # what these texts use stays, the rest is forgotten
-            kept = at[~new]
-            flat = self.flat[ranges(self.at[kept], self.size[kept])]
-            self.known, self.size, self.flat = self.known[kept], self.size[kept], flat
-            self.at = np.cumsum(self.size) - self.size
-        if new.any():
-            a, n = starts[first[new]], ends[first[new]] - starts[first[new]]
-            raw = buf[ranges(a, n)]
+        def fresh(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            n = ends - starts
+            raw = buf[ranges(starts, n)]
             owner = np.repeat(np.arange(len(n)), n)[(raw & 0xC0) != 0x80]
-            ids, sizes = self.encode_parts(raw.tobytes().decode().replace(" ", SPACE), owner, len(n))
-            known = np.concatenate([self.known, hashes[new]])
-            order = np.argsort(known)
-            self.known = known[order]
-            self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(sizes) - sizes])[order]
-            self.size = np.concatenate([self.size, sizes])[order]
-            self.flat = np.concatenate([self.flat, ids])
-        at = np.searchsorted(self.known, hashes)[back]
-        size = self.size[at]
+            return self.encode_parts(raw.tobytes().decode().replace(" ", SPACE), owner, len(n))
+
+        ids, size = self.parts.ids(buf, starts, ends, fresh)
         total = np.concatenate([[0], np.cumsum(size)])
-        per_text = np.diff(total[np.searchsorted(starts, edges)])
-        return self.flat[ranges(self.at[at], size)], per_text
+        return ids, np.diff(total[np.searchsorted(starts, edges)])
 
     def decimals(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """The ids of each text as decimals with commas between them."""

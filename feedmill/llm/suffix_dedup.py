@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from feedmill.llm import blocks as packing
 from feedmill.llm.common import written
-from feedmill.llm.flat import mixed, ranges, spans_hashed
+from feedmill.llm.flat import mixed, ranges, rolling, spans_hashed
 
 WINDOW = 200
 GRAM = 64
@@ -60,9 +60,7 @@ class Windows:
         self.values, self.counts = np.zeros(0, np.uint64), empty
         if total < WINDOW:
             return
-        at = np.arange(total - GRAM + 1)
-        grams = spans_hashed(self.buf, at, at + GRAM)
-        del at
+        grams = rolling(self.buf, GRAM)
         w = WINDOW - GRAM + 1
         least = _sliding(grams, w, np.minimum)  # of the window that starts here
         valid = np.zeros(len(least) + 1, bool)  # windows inside one document

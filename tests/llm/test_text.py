@@ -4,7 +4,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from feedmill.llm import html_text, lm_score, quality_classifier, sentence_pieces
+from feedmill.llm import flat, html_text, lm_score, quality_classifier, sentence_pieces
+from feedmill.llm.parts import Remembered
 from tests.llm.helpers import ODD, docs_table, is_held_out, lower, prose, some_texts, word_counts, words
 
 
@@ -43,6 +44,33 @@ def test_known_parts_are_forgotten_without_harm(model, library, monkeypatch):
         assert tool.encode([t.encode() for t in texts])[0].tolist() == sum(library.encode(texts), [])
 
 
+def test_words_that_sums_of_powers_confuse(model, library):
+    """A Thue-Morse word and its complement have equal polynomial hashes modulo powers of two."""
+    word = "a"
+    for _ in range(12):
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = [w for n in (1024, 2048, 4096) for w in (word[:n], word[:n].translate(str.maketrans("ab", "ba")))]
+    tool = sentence_pieces.Pieces(model)
+    ids, sizes = tool.encode([t.encode() for t in texts])
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == library.encode(texts)
+    buf, edges = flat.joined([t.encode() for t in texts])
+    assert len(set(flat.spans_hashed(buf, edges[:-1], edges[1:] - 1).tolist())) == len(texts)
+
+
+def test_two_hashes_that_disagree_stop_the_memory():
+    """Where a hash says that two parts are one and the other doesn't, each part is encoded by itself."""
+    memory, asked = Remembered(10), []
+
+    def encode(starts, ends):
+        asked.append(len(starts))
+        return starts, np.ones(len(starts), np.int64)
+
+    buf, starts, ends = np.arange(6, dtype=np.uint8), np.array([0, 2, 4]), np.array([2, 4, 6])
+    assert memory.ids(buf, starts, ends, encode)[0].tolist() == [0, 2, 4]
+    memory._check = memory._check[::-1].copy()
+    assert memory.ids(buf, starts[:2], ends[:2], encode)[0].tolist() == [0, 2] and asked == [3, 2]
+
+
 def test_encoding_and_decoding_tables(spark, model, library):
     texts = some_texts()
     df = docs_table(spark, texts)
