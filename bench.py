@@ -35,6 +35,7 @@ HEADLINE = [
     "payload_decoded",
     "volume_hourly",
     "feed_stream",
+    "feed_stream_batches",
 ]
 
 

@@ -39,8 +39,8 @@ from feedmill.schemas import (
 )
 from feedmill.operators.spread import order_layout
 from feedmill.sources.folders import scratch_folder
-from feedmill.sources.log import append_log, create_log, publish_changes, read_log, stream_log
-from feedmill.sources.ops import stream_files
+from feedmill.sources.log import append_log, create_log, publish_changes, read_log, reserve_scn, scn_state, stream_log
+from feedmill.sources.ops import stream_files, stream_ops
 from feedmill.streaming.copy import copy_stream
 from feedmill.streaming.feed import stream_to_log
 from feedmill.tables import small_table
@@ -728,6 +728,46 @@ def feed_stream(spark, sf_dir):
     return read_log(spark, path).select(*CHANGE_COLUMNS)
 
 
+@_query(f"with {_FEED} select {_COLS} from feed")
+def feed_stream_batches(spark, sf_dir):
+    """Four files of ops, one per micro-batch: what a batch leaves of live keys the next one finds."""
+    path, checkpoint = scratch_folder(spark, "log"), scratch_folder(spark, "checkpoint")
+    folder, events = scratch_folder(spark, "ops"), _table(spark, sf_dir, "events")
+    cuts = events.approxQuantile("event_id", [0.25, 0.5, 0.75], 0.05)
+    bounds = [float("-inf"), *cuts, float("inf")]
+    for low, high in zip(bounds, bounds[1:]):
+        part = events.where((F.col("event_id") > low) & (F.col("event_id") <= high))
+        event_ops(part).coalesce(1).write.mode("append").parquet(folder)
+    ops = stream_ops(spark, folder, max_files=1)
+    stream_to_log(ops, static_settings(spark), path, checkpoint, availableNow=True).awaitTermination()
+    return read_log(spark, path).select(*CHANGE_COLUMNS)
+
+
+@_query(
+    """with recursive days as (
+  select row_number() over (order by d) - 1 as batch_id, n from (
+    select date_trunc('day', ts) as d, count(*) as n from events group by 1)),
+made as (
+  select batch_id, cast(0 as bigint) as start_scn, n as n_rows, cast(100 * greatest(1, (n + 99) // 100) as bigint) as hwm
+  from days where batch_id = 0
+  union all
+  select batch_id, start_scn, n_rows, cast(case when fresh then start_scn + 100 * greatest(1, (n_rows + 99) // 100)
+      else old + 100 * greatest(0, (start_scn + n_rows - old + 99) // 100) end as bigint) as hwm
+  from (
+    select d.batch_id, d.batch_id % 10 = 0 as fresh, m.hwm as old, d.n as n_rows,
+      case when d.batch_id % 10 = 0 then m.hwm else m.start_scn + m.n_rows end as start_scn
+    from made m join days d on d.batch_id = m.batch_id + 1))
+select batch_id, start_scn, n_rows, hwm from made"""
+)
+def scn_ledger(spark, sf_dir):
+    """A reservation for each day's events; the publisher is started anew every ten days."""
+    path = scratch_folder(spark, "log")
+    days = _table(spark, sf_dir, "events").groupBy(F.date_trunc("day", "ts").alias("d")).agg(F.count("*").alias("n"))
+    for i, row in enumerate(days.orderBy("d").collect()):  # one row a day
+        reserve_scn(spark, path, "daily", i, row.n, run=f"run-{i // 10}", step=100)
+    return scn_state(spark, path).select("batch_id", "start_scn", "n_rows", "hwm")
+
+
 @_query(f"with {_FEED} select {_COLS} from feed")
 def log_stream(spark, sf_dir):
     """A consumer that copies the log without repeats: batches out of time order, one of them written again."""

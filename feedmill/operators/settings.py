@@ -74,10 +74,14 @@ def no_settings(spark: SparkSession) -> DataFrame:
 
 
 def latest_settings(history: DataFrame) -> DataFrame:
-    """The value in force per scope, target and key; removed ones are left out."""
+    """The value in force per scope, target and key; removed ones are left out.
+
+    Of changes at the same `seq` the one with the largest value counts, as in the gate.
+    """
+    newest = F.max(F.struct("seq", "value"))["value"]
     return (
         history.groupBy("scope", "target", "key")
-        .agg(F.max_by("value", "seq").alias("value"))
+        .agg(newest.alias("value"))
         .where(F.col("value").isNotNull())
     )
 

@@ -5,6 +5,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from feedmill.sources.files import hadoop_place, local_path
+
 
 def claim(spark: SparkSession, path: str, content: str) -> bool:
     """Make the file `path` with `content`, whole or not at all; False if it is there already.
@@ -15,23 +17,22 @@ def claim(spark: SparkSession, path: str, content: str) -> bool:
     """
     folder, name = path.rsplit("/", 1)
     draft = f"{folder}/.{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    first = jvm.org.apache.hadoop.fs.Path(draft)
-    if fs.getScheme() == "file":
+    local = local_path(spark, path)
+    if local:
         # Python and the driver's JVM are on one machine.
-        source, goal = first.toUri().getPath(), target.toUri().getPath()
-        os.makedirs(os.path.dirname(goal), exist_ok=True)
+        source = local_path(spark, draft)
+        os.makedirs(os.path.dirname(local), exist_ok=True)
         with open(source, "w", encoding="utf-8") as file:
             file.write(content)
         try:
-            os.link(source, goal)
+            os.link(source, local)
             return True
         except FileExistsError:
             return False
         finally:
             os.unlink(source)
+    fs, target = hadoop_place(spark, path)
+    first = hadoop_place(spark, draft)[1]
     out = fs.create(first, False)
     out.write(bytearray(content, "utf-8"))
     out.close()

@@ -1,17 +1,16 @@
 """The change log: a Parquet table with one folder per batch.
 
-`_scn_state` inside the log holds which numbers each batch has reserved, one
-small file per reservation as there is one folder per batch. A batch is reserved before it is written and written to the folder of its own
-number, so doing it again gives the same rows in the same place.
+`_scn_state` inside the log holds which numbers each batch has reserved (see
+`ledger`). A batch is reserved before it is written and written to the folder of
+its own number, so doing it again gives the same rows in the same place.
 """
 
-import json
 import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill.functions.text import stored_mark
@@ -20,9 +19,10 @@ from feedmill.operators.settings import latest_settings
 from feedmill.operators.spread import order_layout
 from feedmill.plans.feed import FeedOptions, feed_parts, number_parts, part_counts
 from feedmill.schemas import CHANGE_COLUMNS, LOG_SCHEMA, MAX_SCN_KEY, SCN_STATE_SCHEMA, SCN_STEP
-from feedmill.sources.claims import claim
+from feedmill.sources.ledger import Entry, Ledger
 from feedmill.tables import empty_table
 
+
 def create_log(spark: SparkSession, path: str) -> None:
     """Create the log if it is not there; a log that is there is left alone."""
     empty = empty_table(spark, LOG_SCHEMA)
@@ -83,13 +83,9 @@ def scn_state(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
-def _same_request(source: str, epoch: int) -> Column:
-    return (F.col("source") == source) & (F.col("epoch") == epoch)
-
-
 def _finished(spark: SparkSession, path: str, source: str, epoch: int) -> Reservation | None:
     """The reservation of this request, if all of its rows are in the log."""
-    mine = scn_state(spark, path).where(_same_request(source, epoch)).orderBy(F.desc("start_scn"), F.desc("hwm")).first()
+    mine = Ledger(spark, path).request(source, epoch)
     if mine is None or _rows_written(spark, path, mine.batch_id) != mine.n_rows:
         return None
     return Reservation(mine.batch_id, mine.start_scn, mine.n_rows, mine.hwm, repeated=True)
@@ -119,18 +115,12 @@ def reserve_scn(
     Each reservation is a file of its own, numbered in order, that one writer
     alone can make. Who comes second looks again, so several writers share a log.
     """
-    row = F.struct("*")
+    ledger = Ledger(spark, path)
     while True:
-        state = scn_state(spark, path)
-        order = F.struct("start_scn", "hwm", "batch_id")
-        last, mine, newest, n_state = state.agg(
-            F.max_by(row, order),
-            F.max_by(row, F.when(_same_request(source, epoch), order)),
-            F.max("batch_id"),
-            F.count("*"),
-        ).first()
+        state, mine = ledger.refresh(), ledger.request(source, epoch)
         if mine is not None and mine.n_rows == n_rows:
             return Reservation(mine.batch_id, mine.start_scn, n_rows, mine.hwm, repeated=True)
+        last = state.last
         if last is None:
             start, mark = 0, None
         elif last.run == run or not gap_on_restart:
@@ -140,10 +130,8 @@ def reserve_scn(
         if start < at_least:
             start, mark = at_least, None
         hwm = next_hwm(start, n_rows, step) if mark is None else continued_hwm(mark, start, n_rows, step)
-        batch_id = mine.batch_id if mine is not None else 0 if newest is None else newest + 1
-        values = (batch_id, start, n_rows, hwm, source, epoch, run)
-        content = json.dumps(dict(zip(SCN_STATE_SCHEMA.fieldNames(), values, strict=True)))
-        if claim(spark, f"{_state_folder(path)}/{n_state:012d}.json", content + "\n"):
+        batch_id = mine.batch_id if mine is not None else 0 if state.newest is None else state.newest + 1
+        if ledger.add(state.n, Entry(batch_id, start, n_rows, hwm, source, epoch, run)):
             return Reservation(batch_id, start, n_rows, hwm)
 
 

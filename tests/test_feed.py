@@ -297,3 +297,11 @@ def test_junk_in_a_flag_fails(spark):
     junk = small_table(spark, [(0, "index", "a", CDC_ENABLED_KEY, "yes")], SETTINGS_SCHEMA)
     with pytest.raises(PySparkException, match="not a table flag"):
         gate(ops_table(spark, [{}]), junk)
+
+
+def test_changes_at_one_seq_have_one_order(spark):
+    """Of two values set at the same moment the larger counts, whichever row comes first."""
+    rows = [(1, "index", "change_log", MAX_SCN_KEY, "5000"), (1, "index", "change_log", MAX_SCN_KEY, "9000"), (1, "index", "t", MAX_SCN_KEY, None), (1, "index", "t", MAX_SCN_KEY, "7")]
+    for order in (rows, rows[::-1]):
+        table = spark.createDataFrame(order, SETTINGS_SCHEMA).coalesce(1)
+        assert {(r.target, r.value) for r in latest_settings(table).collect()} == {("change_log", "9000"), ("t", "7")}
