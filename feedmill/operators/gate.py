@@ -11,10 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedmill.functions.patterns import entry_matches, illegal_in_lists, name_matches, pattern_entries
-from feedmill.functions.text import flag, is_blank
-from feedmill.operators.spread import BUCKET, OrderLayout, order_layout
+from feedmill.functions.patterns import illegal_in_lists, name_matches, pattern_entries
+from feedmill.functions.text import flag
+from feedmill.operators.pattern_index import matching_entries
+from feedmill.operators.spread import BUCKET, OrderLayout, order_layout, previous_value
 from feedmill.schemas import CDC_ENABLED_KEY, PATTERN_LIST_KEY
+from feedmill.sources.folders import written
 
 POLICIES = ("v7", "v8")
 
@@ -112,6 +114,11 @@ def _static_predicate(spark, short: _Inline, policy: str) -> Column:
     return flagged | (listed & ~name.isin(*off) if off else listed)
 
 
+def is_long(settings: DataFrame, policy: str = "v8", inline_rows: int = MAX_INLINE) -> bool:
+    """Is the history too long to be written into the plan?"""
+    return _inline(settings, policy, inline_rows) is None
+
+
 def gate(
     df: DataFrame, settings: DataFrame, policy: str = "v8", inline_rows: int = MAX_INLINE
 ) -> DataFrame:
@@ -216,8 +223,13 @@ def capture_asof(
     policy: str = "v8",
     layout: OrderLayout | None = None,
     inline_rows: int = MAX_INLINE,
+    events: DataFrame | None = None,
 ) -> DataFrame:
-    """Add `captured` under the settings in force at each row's `seq`."""
+    """Add `captured` under the settings in force at each row's `seq`.
+
+    A long history becomes a table of events first, unless `events` gives it:
+    `gate_events` of these rows or of others that have them all.
+    """
     _check(policy)
     spark = df.sparkSession
     short = _inline(settings, policy, inline_rows)
@@ -230,22 +242,71 @@ def capture_asof(
         captured = F.coalesce(_by_name(own, none), listed, F.lit(False))
         return df.withColumn("captured", captured)
 
-    known = settings_asof(df, settings, policy, layout, inline_rows)
-    if policy == "v7":
-        captured = F.coalesce("index_setting", F.lit(False))
-        return known.select(*df.columns, captured.alias("captured"))
-    # Each name is held against each list once, not once per op.
-    pairs = known.where(F.col("node_list").isNotNull()).select("idx_name", "node_list").distinct()
-    listed = (
-        pairs.where(~is_blank(F.col("idx_name")))
-        .withColumn("_entry", F.explode(pattern_entries(F.col("node_list"))))
-        .withColumn("_listed", entry_matches(F.col("idx_name"), F.col("_entry")))
-        .groupBy("idx_name", "node_list")
-        .agg(F.bool_or("_listed").alias("_listed"))
+    layout = layout or order_layout(df)
+    events = gate_events(df, settings, policy, layout) if events is None else events
+    rows = layout.add_to(df).withColumns({"_own": F.lit(None).cast(_OWN), "_lists": F.lit(0), "_kind": F.lit(1)})
+    both = rows.unionByName(events.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
+    upto = W.partitionBy("idx_name", BUCKET).orderBy("seq", "_kind").rowsBetween(W.unboundedPreceding, 0)
+    own, listed = F.last("_own", ignorenulls=True).over(upto)["own"], F.sum("_lists").over(upto) > 0
+    known = both.withColumn("captured", F.coalesce(own, listed)).where(F.col("_kind") == 1)
+    return known.select(*df.columns, "captured")
+
+
+_OWN = "struct<own:boolean>"
+
+
+def gate_events(df: DataFrame, settings: DataFrame, policy: str, layout: OrderLayout) -> DataFrame:
+    """What a long history means for the rows of `df`, a written table (idx_name, bucket, seq, _own, _lists).
+
+    `_own` is a change of the table's flag, `_lists` how many more entries of the list in
+    force match its name. What holds at the start of a bucket of `seq` is an event ahead of
+    all others, for the tables that the bucket has rows of. Of `df` only names and `seq` are read.
+    """
+    flags = settings.where(_is_flag() & (F.col("seq") <= layout.high))
+    changes = flags.groupBy(F.col("target").alias("idx_name"), "seq").agg(F.max("value").alias("value"))
+    # A change to no value is a change too: the value is wrapped, so that only other events are NULL.
+    events = changes.select("idx_name", "seq", F.struct(flag(F.col("value")).alias("own")).alias("_own"), F.lit(0).alias("_lists"))
+    if policy == "v8":
+        listed = list_changes(df.select("idx_name"), settings, layout)
+        events = events.unionByName(listed.withColumn("_own", F.lit(None).cast(_OWN)))
+    placed = layout.add_to(events).withColumn(BUCKET, F.when(F.col("seq") < layout.low, -1).otherwise(F.col(BUCKET)))
+    placed = written(placed, "settings-events")
+    last = F.expr("max_by(_own, seq) filter (where _own is not null)").alias("_last")
+    sums = placed.groupBy("idx_name", BUCKET).agg(last, F.sum("_lists").alias("_sum"), F.lit(False).alias("_rows"))
+    there = layout.add_to(df.select("idx_name", layout.order_col)).select("idx_name", BUCKET).distinct()
+    there = there.select("idx_name", BUCKET, F.lit(None).cast(_OWN).alias("_last"), F.lit(0).cast("long").alias("_sum"), F.lit(True).alias("_rows"))
+    before = W.partitionBy("idx_name").orderBy(BUCKET).rangeBetween(W.unboundedPreceding, -1)
+    carried = sums.unionByName(there).select(
+        "idx_name",
+        BUCKET,
+        F.lit(-(2**63)).alias("seq"),
+        F.last("_last", ignorenulls=True).over(before).alias("_own"),
+        F.coalesce(F.sum("_sum").over(before), F.lit(0)).cast("int").alias("_lists"),
+        "_rows",
+    )
+    starts = carried.where(F.col("_rows") & (F.col("_own").isNotNull() | (F.col("_lists") != 0))).drop("_rows")
+    return written(placed.where(F.col(BUCKET) >= 0).unionByName(starts), "gate-events")
+
+
+def list_changes(names: DataFrame, settings: DataFrame, layout: OrderLayout) -> DataFrame:
+    """(idx_name, seq, _lists): when entries of the list in force begin (1) or cease (-1) to match a name.
+
+    Each list is held against the one before it, so an entry that stays is no
+    change, however often the list is set, and a name is tried with it once.
+    """
+    lists = settings.where(_is_list() & (F.col("seq") <= layout.high))
+    lists = lists.groupBy("seq").agg(F.coalesce(F.max("value"), F.lit("")).alias("_list"))
+    placed = layout.add_to(lists).withColumn(BUCKET, F.when(F.col("seq") < layout.low, -1).otherwise(F.col(BUCKET)))
+    traced = previous_value(placed, [], "seq", F.col("_list"), "_before", BUCKET)
+    now, before = (F.array_distinct(pattern_entries(F.coalesce(c, F.lit("")))) for c in ("_list", "_before"))
+    begun, ceased = F.array_except(now, before), F.array_except(before, now)
+    steps = F.concat(
+        F.transform(begun, lambda e: F.struct(e.alias("entry"), F.lit(1).alias("_step"))),
+        F.transform(ceased, lambda e: F.struct(e.alias("entry"), F.lit(-1).alias("_step"))),
     )
-    joined = known.join(listed, ["idx_name", "node_list"], "left")
-    captured = F.coalesce("index_setting", "_listed", F.lit(False))
-    return joined.select(*df.columns, captured.alias("captured"))
+    changes = traced.select("seq", F.inline(steps))
+    matched = matching_entries(names, changes)
+    return changes.join(matched, "entry").groupBy("idx_name", "seq").agg(F.sum("_step").cast("int").alias("_lists"))
 
 
 def ever_captured(
@@ -254,8 +315,8 @@ def ever_captured(
     """Leave out tables that no setting in the history can capture.
 
     Only a saving: a table is kept or left out as a whole, so what is left can
-    still be labelled. For long histories each name is held once against each
-    entry of any list, and the tables are taken by a semi-join.
+    still be labelled. For long histories the names meet the entries of all lists by
+    an index, and the tables are taken by a semi-join.
     """
     _check(policy)
     short = _inline(settings, policy, inline_rows)
@@ -274,10 +335,7 @@ def _capturable_names(df: DataFrame, settings: DataFrame, policy: str) -> DataFr
     """Names that some flag or some list of a long history captures."""
     on = settings.where(_is_flag() & flag(F.col("value"))).select(F.col("target").alias("idx_name"))
     if policy == "v7":
-        return on.distinct()
-    entries = settings.where(_is_list()).select(F.explode(pattern_entries(F.col("value"))).alias("e")).distinct()
-    every = entries.agg(F.collect_list("e")).scalar()  # the distinct entries of the settings
-    names = df.select("idx_name").distinct().where(~is_blank(F.col("idx_name")))
-    held = names.withColumn("_entry", F.explode(every))
-    listed = held.where(entry_matches(F.col("idx_name"), F.col("_entry")))
-    return on.unionByName(listed.select("idx_name")).distinct()
+        return written(on.distinct(), "names")
+    entries = settings.where(_is_list()).select(F.explode(pattern_entries(F.col("value"))).alias("entry"))
+    listed = matching_entries(df.select("idx_name"), entries)
+    return written(on.unionByName(listed.select("idx_name")).distinct(), "names")

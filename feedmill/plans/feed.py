@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from feedmill.functions.events import payload_text, stamp
 from feedmill.operators.filters import applied_ops, exclude_self
-from feedmill.operators.gate import MAX_INLINE, capture_asof, ever_captured, gate
+from feedmill.operators.gate import MAX_INLINE, capture_asof, ever_captured, gate, gate_events, is_long
 from feedmill.operators.liveness import KEY, classify, found_event_type, has_flags, with_liveness
 from feedmill.operators.scn import assign_scn, bucket_counts, number_labelled
 from feedmill.operators.spread import OrderLayout, order_layout
@@ -61,11 +61,16 @@ def labelled_ops(
     """
     if initial_keys is not None:
         initial_keys = capturable(initial_keys, settings, options)
+    events = None
+    if options.as_of and is_long(settings, options.policy, options.inline_rows):
+        # From the ops as they are: their names and order are known before their labels.
+        layout = layout or order_layout(candidates)
+        events = gate_events(candidates, settings, options.policy, layout)
     live = with_liveness(candidates, initial_keys, layout, options.hot_rows)
     labelled = live.withColumn("event_type", found_event_type()) if keep_all else classify(live)
     if not options.as_of:
         return labelled
-    known = capture_asof(labelled, settings, options.policy, layout, options.inline_rows)
+    known = capture_asof(labelled, settings, options.policy, layout, options.inline_rows, events)
     if keep_all:
         return known.withColumn("event_type", F.when(F.col("captured"), F.col("event_type"))).drop("captured")
     return known.where("captured").drop("captured")
