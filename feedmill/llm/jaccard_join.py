@@ -11,8 +11,11 @@ Links are pairs of sets whose intersection is at least `percent` of their union.
    smallest is joined to each of the others, which keeps what hangs together together.
 4. Heavy sets are found by inverted lists of their rarest shingles. Every list
    joins its members to its first one; pairs that prove similar make components.
-   Lists that still hold several components have their other pairs compared, but
-   for those whose signatures differ in too many bits.
+   Lists that still hold several components are cut by size and into blocks. Within
+   a task all pairs of two blocks are held against each other by their signatures; of
+   those that may be linked a few for each set are told and proved, then, if components
+   are still apart, twice as many, until none is left. What hangs together is mostly
+   joined by the first few, so pairs don't pile up.
 5. The boundary between light and heavy is the size where the estimated number of
    subsets and list entries is least.
 """
@@ -20,7 +23,7 @@ Links are pairs of sets whose intersection is at least `percent` of their union.
 from __future__ import annotations
 
 from itertools import combinations
-from math import comb
+from math import comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,8 @@ MAX_LIGHT = 40
 #: A signature has one bit per hash class of a set's shingles, set when the class has an odd number of them.
 #: Two sets differ in at least as many shingles as their signatures in bits.
 SIGNATURE = [f"bits{i}" for i in range(16)]
+#: Members of a block of a list.
+LIST = 512
 SALTS = np.random.default_rng(7).integers(1, 2**63, 16, dtype=np.uint64) | np.uint64(1)
 
 
@@ -310,33 +315,92 @@ def set_components(sets: DataFrame, percent: int) -> DataFrame:
     found = written(light_links.distinct().unionByName(_verified(tried, sets, percent)), "found")
 
     labels = written(components(found), "labels")
-    open_ = _mixed_lists(entries, labels, light).join(sets.select("sid", *SIGNATURE), "sid")
-    open_ = written(open_, "open")
-    other = open_.select(
-        "shingle", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b"), F.col("label").alias("label_b"),
-        *[F.col(c).alias(f"{c}_b") for c in SIGNATURE],
-    )
-    # At the first common shingle of a similar pair, what is left of either set must do.
-    enough = F.least("rest", "rest_b") * (100 + percent) >= (F.col("n") + F.col("n_b")) * percent
-    differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))) for c in SIGNATURE), F.lit(0))
-    alike = (F.col("n") + F.col("n_b") - differ) * (100 + percent) >= (F.col("n") + F.col("n_b")) * (2 * percent)
-    pairs = (
-        open_.join(other, "shingle")
-        .where((F.col("label") < F.col("label_b")) & (F.greatest("n", "n_b") > light) & _near("n", "n_b", percent) & enough & alike)
-        .select(F.least("sid", "b").alias("a"), F.greatest("sid", "b").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
-    # What the late links join are components: of the links between two of them one is enough.
-    late = _verified(pairs, sets, percent)
+    marks = sets.select("sid", *SIGNATURE)
+    for turn in range(64):
+        # In its turns a set is held against 1, 2, 4, ... of the sets before it in a list, until all were its partners.
+        open_ = _blocks_of_lists(_mixed_lists(entries, labels, light).join(marks, "sid"), percent)
+        near = open_.groupBy("shingle", "class", "one", "two").applyInArrow(
+            _near_in_lists(percent, light, (1 << turn) - 1, (2 << turn) - 1), "a binary, b binary, more boolean"
+        )
+        near = written(near, "near")
+        pairs = near.where("a is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        labels = _joined(labels, _verified(pairs, sets, percent))
+        if near.where("more").isEmpty():
+            break
+    return labels
+
+
+def _joined(labels: DataFrame, late: DataFrame) -> DataFrame:
+    """The labels after some more links (a, b). What they join are components."""
     for end in ("a", "b"):
         known = labels.select(F.col("v").alias(end), F.col("label").alias(f"label_{end}"))
         late = late.join(known, end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
-    joined = written(late.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct(), "found")
+    joined = written(late.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).where("a != b").distinct(), "found")
+    if joined.isEmpty():
+        return labels
     upper = components(joined).select(F.col("v").alias("label"), F.col("label").alias("top"))
     lone = upper.select(F.col("label").alias("v"), "top").join(labels.select("v"), "v", "left_anti")
     lower = labels.join(upper, "label", "left").select("v", F.coalesce("top", "label").alias("label"))
-    return lower.unionByName(lone.select("v", F.col("top").alias("label")))
+    return written(lower.unionByName(lone.select("v", F.col("top").alias("label"))), "labels")
+
+
+def _blocks_of_lists(open_: DataFrame, percent: int) -> DataFrame:
+    """The members of each list by size class, long ones in blocks, every block to each pair of blocks it is in.
+
+    Sets of linked sizes are in one class or in neighbouring ones: a class is met by its
+    own sets (`home`) and those of the class below.
+    """
+    width = max(1e-9, 1.0001 * log(100 / percent))
+    own = F.floor(F.log("n") / F.lit(width))
+    members = open_.withColumn("class", F.explode(F.array(own, own + 1))).withColumn("home", F.col("class") == own)
+    sizes = members.groupBy("shingle", "class").agg(F.count(F.lit(1)).alias("k"), F.max("home").alias("own")).where("own and k > 1")
+    blocked = members.join(sizes.select("shingle", "class", "k"), ["shingle", "class"])
+    n_blocks = F.ceil(F.col("k") / F.lit(LIST))
+    blocked = blocked.withColumn("block", F.pmod(F.xxhash64("sid"), n_blocks))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), n_blocks - 1))
+    met = blocked.withColumn("other", other)
+    return met.withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")}).drop("other", "k")
+
+
+def _near_in_lists(percent: int, light: int, first: int, last: int):
+    """Pairs of sets of different components that may be linked, by their sizes and signatures, in two blocks of a list.
+
+    Of the partners that may be linked with a set, whatever their components, those
+    numbered `first` to `last` - 1 are told; `more` says that there are further ones.
+    """
+
+    def near(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("sid")
+        one, two = key[2].as_py(), key[3].as_py()
+        sid, block = rows["sid"].to_pylist(), rows["block"].to_numpy()
+        n, rest, home = (rows[c].to_numpy() for c in ("n", "rest", "home"))
+        label = rows["label"].combine_chunks().dictionary_encode().indices.to_numpy()
+        bits = np.stack([rows[c].to_numpy() for c in SIGNATURE], axis=1).view(np.uint64)
+        left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+        found, more = [], False
+        for at in range(0, len(left), 64):
+            x = left[at : at + 64]
+            differ = np.bitwise_count(bits[x][:, None] ^ bits[right][None]).sum(axis=2, dtype=np.int64)
+            both = n[x][:, None] + n[right][None]
+            small, large = np.minimum(n[x][:, None], n[right][None]), np.maximum(n[x][:, None], n[right][None])
+            # At the first common shingle of a similar pair, what is left of either set must do.
+            may = np.minimum(rest[x][:, None], rest[right][None]) * (100 + percent) >= both * percent
+            may &= ((both - differ) * (100 + percent) >= both * (2 * percent)) & (100 * small >= percent * large) & (large > light)
+            may &= home[x][:, None] | home[right][None]
+            if one == two:
+                may &= right[None] < x[:, None]
+            number = np.cumsum(may, axis=1) - 1
+            apart = may & (label[x][:, None] != label[right][None])
+            i, j = np.nonzero(apart & (number >= first) & (number < last))
+            found += [tuple(sorted((sid[p], sid[q]))) for p, q in zip(x[i].tolist(), right[j].tolist(), strict=True)]
+            more |= bool((apart & (number >= last)).any())
+        a, b = [p for p, _ in found], [q for _, q in found]
+        flags = [False] * len(found)
+        if more:
+            a.append(None), b.append(None), flags.append(True)
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "more": pa.array(flags, pa.bool_())})
+
+    return near
 
 
 def jaccard_components(

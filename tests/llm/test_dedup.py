@@ -8,7 +8,7 @@ import pytest
 import zstandard
 
 from feedmill.llm import blocks, exact_dedup, golomb, jaccard_join, suffix_dedup
-from tests.llm.helpers import ODD, components, docs_table, some_texts
+from tests.llm.helpers import ODD, components, docs_table, prose, some_texts
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 7, 5000, 70000])
@@ -105,6 +105,22 @@ def test_jaccard_components(spark, width, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == components(texts, width, percent)
 
 
+@pytest.mark.parametrize("block", [512, 40])
+def test_jaccard_of_many_different_near_copies(spark, monkeypatch, block):
+    """One passage in 160 versions, each with other words changed: long lists, many links, nothing lost."""
+    monkeypatch.setattr(jaccard_join, "LIST", block)
+    rng = random.Random(9)
+    base = prose(rng, 160, 10**6).split()
+    texts = []
+    for _ in range(160):
+        w = list(base)
+        for _ in range(rng.randrange(1, 5)):
+            w[rng.randrange(len(w))] = f"v{rng.randrange(10**6)}"
+        texts.append(" ".join(w[: rng.randrange(120, 161)]))
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(docs_table(spark, texts), width=4, percent=85).collect()}
+    assert found == components(texts, 4, 85)
+
+
 def test_boundary_follows_the_costs():
     assert jaccard_join.boundary([(8, 10, 0), (30, 1, 10)], 85) == 0
     assert jaccard_join.boundary([(8, 10, 10**6), (30, 1, 10)], 85) == 8
