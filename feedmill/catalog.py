@@ -6,6 +6,7 @@ one write. `QUERIES` maps names to functions of a session and a folder,
 """
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,11 +39,13 @@ from feedmill.schemas import (
     SETTINGS_SCHEMA,
 )
 from feedmill.operators.spread import order_layout
-from feedmill.sources.folders import scratch_folder
+from feedmill.sources.folders import scratch_folder, written
 from feedmill.sources.log import append_log, create_log, publish_changes, read_log, reserve_scn, scn_state, stream_log
 from feedmill.sources.ops import stream_files, stream_ops
+from feedmill.sources.states import state_at, write_state
 from feedmill.streaming.copy import copy_stream
 from feedmill.streaming.feed import stream_to_log
+from feedmill.streaming.volume import read_batches, read_volume, stream_volume
 from feedmill.tables import small_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -632,12 +635,12 @@ where back = 1 and event_type <> 'D'"""
 
 @_query(f"with {_FEED} {_STATE.format(cols=_COLS, where='')}")
 def current_state(spark, sf_dir):
-    return consume.current_state(_feed(spark, sf_dir))
+    return consume.current_state(written(_feed(spark, sf_dir), "feed"))
 
 
 @_query(f"with {_FEED} {_STATE.format(cols=_COLS, where='where scn <= 150')}")
 def state_as_of(spark, sf_dir):
-    return consume.state_as_of(_feed(spark, sf_dir), 150)
+    return consume.state_as_of(written(_feed(spark, sf_dir), "feed"), 150)
 
 
 @_query(
@@ -743,6 +746,101 @@ def feed_stream_batches(spark, sf_dir):
     return read_log(spark, path).select(*CHANGE_COLUMNS)
 
 
+def _in_files(df: DataFrame, order_col: str, n: int, folder: str) -> None:
+    """Append a table as `n` files, in order of a column; whole ranges, so all rows."""
+    cuts = df.approxQuantile(order_col, [i / n for i in range(1, n)], 0.01)
+    bounds = [float("-inf"), *cuts, float("inf")]
+    for low, high in zip(bounds, bounds[1:]):
+        part = df.where((F.col(order_col) > low) & (F.col(order_col) <= high))
+        part.coalesce(1).write.mode("append").parquet(folder)
+
+
+@_query(f"with {_FEED} select {_COLS} from feed")
+def feed_stream_bounded(spark, sf_dir):
+    """Bounded intake: seven files of ops, at most two in a micro-batch; what doesn't fit waits and is not dropped."""
+    path, checkpoint, folder = (scratch_folder(spark, n) for n in ("log", "checkpoint", "ops"))
+    _in_files(_ops(spark, sf_dir), "seq", 7, folder)
+    ops = stream_ops(spark, folder, max_files=2)
+    query = stream_to_log(ops, static_settings(spark), path, checkpoint, availableNow=True)
+    query.awaitTermination()
+    if scn_state(spark, path).count() != 4:
+        raise AssertionError("seven files make four batches of at most two")
+    return read_log(spark, path).select(*CHANGE_COLUMNS)
+
+
+def _log_of_parts(spark: SparkSession, sf_dir: str, n: int) -> tuple[str, int]:
+    """A log of the feed in `n` batches, dense numbers; and how many numbers there are."""
+    path = scratch_folder(spark, "log")
+    feed = _feed(spark, sf_dir).persist()
+    total = feed.count()
+    create_log(spark, path)
+    for i in range(n):
+        low, high = total * i // n, total * (i + 1) // n
+        reserve_scn(spark, path, "parts", i, high - low, run="parts", gap_on_restart=False)
+        append_log(feed.where((F.col("scn") > low) & (F.col("scn") <= high)), path, i)
+    feed.unpersist()
+    return path, total
+
+
+@_query(
+    f"""with {_FEED}, asked as (
+  select 'now' as moment, count(*) as upto from feed union all select 'two thirds', count(*) * 2 // 3 from feed
+  union all select 'half', count(*) // 2 from feed union all select 'a tenth', count(*) // 10 from feed)
+select moment, {_COLS} from (
+  select moment, {_COLS}, row_number() over (partition by moment, idx_name, pk order by scn desc) as back
+  from feed join asked on scn <= upto) where back = 1 and event_type <> 'D'"""
+)
+def states_stored(spark, sf_dir):
+    """States of a log in eight batches, from two stored states and the batches after them, or without one below."""
+    path, total = _log_of_parts(spark, sf_dir, 8)
+    write_state(spark, path, total // 4)
+    write_state(spark, path, total // 2)
+    asked = {"now": None, "two thirds": total * 2 // 3, "half": total // 2, "a tenth": total // 10}
+    parts = [state_at(spark, path, scn).select(F.lit(name).alias("moment"), "*") for name, scn in asked.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+_LIVE = f"""{_FEED}, placed as (
+  select *, strptime(left(create_time, 19), '%Y-%m-%dT%H:%M:%S') as taken,
+    strptime(create_time, '%Y-%m-%dT%H:%M:%S%g') as exact, (scn * 7919) % 3 as part from feed),
+marks as (select part, max(exact) as upto from placed group by part),
+sealed as (select p.part, max(m.upto) - interval 2 day as watermark from marks p join marks m on m.part < p.part group by 1),
+counted as (
+  select p.*, date_trunc('hour', taken) + interval 1 hour <= s.watermark as late from placed p left join sealed s using (part))"""
+
+
+def _live_volume(spark: SparkSession, sf_dir: str) -> str:
+    """The log as a stream of three micro-batches, each with records from the whole month."""
+    path, counts, checkpoint = (scratch_folder(spark, n) for n in ("log", "volume", "checkpoint"))
+    create_log(spark, path)
+    feed = _feed(spark, sf_dir).persist()
+    for part in range(3):
+        append_log(feed.where((F.col("scn") * 7919) % 3 == part).coalesce(1), path, part)
+        stream = stream_volume(stream_log(spark, path), counts, checkpoint, "1 hour", "2 days", availableNow=True)
+        stream.awaitTermination()
+    feed.unpersist()
+    return counts
+
+
+@_query(
+    f"""with {_LIVE} select strftime(date_trunc('hour', taken), '%Y-%m-%d %H:%M:%S') as hour, idx_name, {_VOLUME},
+  count(*) filter (where late) as n_late from counted group by 1, 2"""
+)
+def volume_live(spark, sf_dir):
+    """Counts per hour while the log grows; late records are counted, and apart."""
+    counted = read_volume(spark, _live_volume(spark, sf_dir))
+    return counted.withColumn("hour", F.col("window_start").cast("string")).drop("window_start", "window_end")
+
+
+@_query(
+    f"""with {_LIVE} select cast(part as bigint) as epoch, {_VOLUME}, count(*) filter (where late) as n_late,
+  cast(0 as bigint) as n_untimed from counted group by part"""
+)
+def volume_batches(spark, sf_dir):
+    """Counts per micro-batch."""
+    return read_batches(spark, _live_volume(spark, sf_dir)).drop("upto", "watermark")
+
+
 @_query(
     """with recursive days as (
   select row_number() over (order by d) - 1 as batch_id, n from (

@@ -1,8 +1,11 @@
 """What consumers do with the change log."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 from feedmill.functions.events import stamp_time
 from feedmill.operators.liveness import KEY
@@ -17,11 +20,29 @@ def tail(log: DataFrame, after: int, n: int | None = None) -> DataFrame:
 
 
 def current_state(log: DataFrame) -> DataFrame:
-    """The last record of each row of each table, without deleted rows."""
-    rest = [c for c in CHANGE_COLUMNS if c not in KEY]
-    last = log.groupBy(*KEY).agg(F.max_by(F.struct(*rest), "scn").alias("last"))
-    kept = last.where(F.col("last.event_type") != "D").select(*KEY, "last.*")
-    return kept.select(*CHANGE_COLUMNS)
+    """The last record of each row of each table, without deleted rows.
+
+    The log is read twice, so give one that is stored. Keys and SCNs are reduced first; payloads are fetched for the last ones, and
+    not at all for deletes. Of several records of a row with one SCN one counts:
+    rather one that is no delete, then the one with the least content. NULL is a
+    key like others.
+    """
+    last = log.groupBy(*KEY).agg(F.max("scn").alias("_last")).select(*[F.col(k).alias(f"_{k}") for k in KEY], "_last")
+    kept = log.where(F.col("event_type") != "D").select(*CHANGE_COLUMNS)
+    found = kept.join(last, _same_key() & (F.col("scn") == F.col("_last"))).select(*CHANGE_COLUMNS)
+    one = W.partitionBy(*KEY).orderBy("event_type", "row_data", "create_time")
+    return found.withColumn("_rn", F.row_number().over(one)).where(F.col("_rn") == 1).drop("_rn")
+
+
+def _same_key() -> Column:
+    return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEY])
+
+
+def fold_state(state: DataFrame, records: DataFrame) -> DataFrame:
+    """A state after further records, all of which have greater SCNs than those in it."""
+    changed = records.select(*[F.col(k).alias(f"_{k}") for k in KEY]).distinct()
+    kept = state.select(*CHANGE_COLUMNS).join(changed, _same_key(), "left_anti")
+    return kept.unionByName(current_state(records))
 
 
 def state_as_of(log: DataFrame, scn: int) -> DataFrame:
@@ -53,20 +74,25 @@ def decode_payload(log: DataFrame, schema: T.StructType | str, out: str = "row")
     return log.withColumn(out, F.when(legal, F.from_json("row_data", schema)))
 
 
-def _counts() -> list[Column]:
+#: Counts of records by event type, and of all.
+COUNTS = [*[f"n_{code.lower()}" for code in EVENT_CODES.values()], "n"]
+
+
+def event_counts() -> list[Column]:
+    """The columns `COUNTS` as aggregates."""
     each = [F.count_if(F.col("event_type") == code).alias(f"n_{code.lower()}") for code in EVENT_CODES.values()]
     return [*each, F.count("*").alias("n")]
 
 
 def volume(log: DataFrame) -> DataFrame:
     """Records per table and event type."""
-    return log.groupBy("idx_name").agg(*_counts())
+    return log.groupBy("idx_name").agg(*event_counts())
 
 
 def volume_by_window(log: DataFrame, width: str = "1 hour", time: Column | None = None) -> DataFrame:
     """Records per table, event type and time window, by capture time unless told otherwise."""
     at = stamp_time(F.col("create_time")) if time is None else time
-    counted = log.groupBy(F.window(at, width), "idx_name").agg(*_counts())
+    counted = log.groupBy(F.window(at, width), "idx_name").agg(*event_counts())
     return counted.select(F.col("window.start").alias("window_start"), *counted.columns[1:])
 
 

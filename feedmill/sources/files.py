@@ -2,6 +2,7 @@
 
 import os
 import uuid
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -38,6 +39,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def last_made(holds: Callable[[int], bool], first: int = 0) -> int:
+    """The greatest number from `first` on for which `holds`, of numbers for which it holds up to some point.
+
+    It is taken to hold for `first` itself. Asks as often as the distance has digits, twice.
+    """
+    low, width = first, 1
+    while holds(low + width):
+        low, width = low + width, 2 * width
+    high = low + width
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if holds(middle) else (low, middle)
+    return low
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """The content of a file, None if there is none."""
     local = local_path(spark, path)

@@ -96,13 +96,7 @@ class Ledger:
 
     def _last_snapshot(self) -> int:
         """The number of the last snapshot, 0 if there is none: they are made in order."""
-        low, high = 0, 1
-        while self._has_snapshot(high):
-            low, high = high, 2 * high
-        while high - low > 1:
-            middle = (low + high) // 2
-            low, high = (middle, high) if self._has_snapshot(middle) else (low, middle)
-        return low
+        return files.last_made(self._has_snapshot)
 
     def refresh(self) -> Summary:
         """What all reservations come to. Snapshots that are due are made."""
@@ -134,6 +128,11 @@ class Ledger:
         if found is None or Entry(**found).order < entry.order:
             files.write_text(self.spark, path, entry.text())
 
+    def entry(self, n: int) -> Entry | None:
+        """Reservation number `n`, None if it has not been made. Later ones start at greater numbers."""
+        found = self._read(self._entry_path(n))
+        return None if found is None else Entry(**found)
+
     def request(self, source: str, epoch: int) -> Entry | None:
         """The last reservation of a request. Those after the last snapshot are known from `refresh`."""
         if self._from is None:

@@ -41,19 +41,20 @@ def stream_log(spark: SparkSession, path: str, max_files: int | None = None) ->
     return reader.parquet(path)
 
 
-def _batch_path(path: str, batch_id: int) -> str:
+def batch_path(path: str, batch_id: int) -> str:
+    """The folder of a batch."""
     return f"{path.rstrip('/')}/batch_id={batch_id}"
 
 
 def append_log(records: DataFrame, path: str, batch_id: int) -> None:
     """Write numbered change records as one batch of the log."""
-    records.select(*CHANGE_COLUMNS).write.mode("overwrite").parquet(_batch_path(path, batch_id))
+    records.select(*CHANGE_COLUMNS).write.mode("overwrite").parquet(batch_path(path, batch_id))
 
 
 def _rows_written(spark: SparkSession, path: str, batch_id: int) -> int | None:
     """Rows of a batch in the log, or None if it was never finished."""
     try:
-        return spark.read.schema(LOG_SCHEMA).parquet(_batch_path(path, batch_id)).count()
+        return spark.read.schema(LOG_SCHEMA).parquet(batch_path(path, batch_id)).count()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
