@@ -29,7 +29,6 @@ BLOCKS = set(
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BREAKS = {"br", "wbr", "img", "input"}
 FRAME = set("nav footer aside form dialog menu search fieldset".split())
-ARTICLE = {"article", "main"}
 FRAME_NAMES = set(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie "
     "cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription signup "
@@ -37,6 +36,14 @@ FRAME_NAMES = set(
     "masthead comment comments commentlist reply replies respond disqus discussion related recommended "
     "recommendations widget pagination pager login search form skip hidden".split()
 )
+# Names that say whose text it is: what stands in such a frame is never the page's own article.
+OTHERS_NAMES = set(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion comment comments "
+    "commentlist reply replies respond disqus discussion related recommended recommendations hidden".split()
+)
+# A name after one of these, or before one of those, says something of the page, not of the element.
+DENIALS = set("with has have no non not without hide hides show shows".split())
+STATES = set("open opened closed enabled disabled active inactive on off free visible ready loaded".split())
 FRAME_ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 ENDS_BEFORE = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 
@@ -53,6 +60,8 @@ ATTR = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"(
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 PLAIN, IN_ARTICLE, IN_FRAME = 0, 1, 2
+# Frames by what leads out of them: an article or main element, a main element alone, nothing.
+LOOSE, FIRM, SEALED = 2, 3, 4
 FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "place"]
 #: The labelled table: the features (links in per cent of words) and whether the block is main text.
 LABELLED = """
@@ -77,7 +86,35 @@ LABELLED = """
 1 0 2 0 2 0 1 1
 5 60 4 0 3 100 1 1
 13 0 2 100 0 0 1 1
-30 90 3 100 2 100 1 1
+30 90 20 0 2 100 1 1
+60 0 2 0 3 100 1 1
+25 0 0 0 4 100 1 1
+200 0 10 0 2 100 1 1
+40 5 3 100 3 100 1 1
+8 0 3 100 5 100 1 1
+3 0 5 100 5 100 1 1
+2 0 60 0 4 100 1 1
+1 0 0 0 3 100 1 1
+15 10 9 0 6 100 1 1
+90 20 5 100 60 0 1 1
+12 0 2 100 3 100 1 1
+4 0 0 0 2 100 1 1
+3 100 61 0 61 0 1 1
+5 100 25 0 30 0 1 1
+10 100 150 0 200 0 1 1
+1 100 90 0 15 0 1 1
+2 100 12 0 70 0 1 1
+6 100 55 0 0 0 1 1
+2 100 40 0 3 100 1 0
+3 100 3 100 3 100 1 0
+1 100 2 100 1 100 1 0
+5 100 6 100 4 100 1 0
+4 100 2 100 70 0 1 0
+3 100 4 100 0 0 1 0
+2 100 90 0 2 100 1 0
+6 100 1 0 5 100 1 0
+9 100 8 100 11 100 1 0
+2 95 3 100 1 100 1 0
 1 100 0 0 1 100 2 0
 2 100 1 100 3 100 2 0
 7 0 1 100 9 0 2 0
@@ -101,6 +138,11 @@ LABELLED = """
 260 0 180 0 240 0 2 0
 55 0 65 0 58 0 2 0
 17 50 190 0 21 40 2 0
+1 100 0 0 100 0 0 0
+1 100 80 0 0 0 0 0
+3 100 90 0 1 100 0 0
+2 100 1 100 70 0 0 0
+6 100 60 0 55 0 0 0
 1 100 1 100 1 100 0 0
 2 100 0 0 2 100 0 0
 3 100 2 100 60 0 0 0
@@ -183,28 +225,46 @@ def is_main(features: list[float], at: dict | None = None) -> bool:
     return bool(at["label"])
 
 
+def _named(value: str) -> int:
+    """The frame that a class or id names, 0 if none: firm if a name is one of the fixed ones as a whole."""
+    frame = 0
+    for name in value.split():
+        words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+        if not words or words[-1] in STATES:
+            continue
+        for before, word in zip(["", *words], words, strict=False):
+            if word in FRAME_NAMES and before not in DENIALS:
+                frame = max(frame, SEALED if word in OTHERS_NAMES else FIRM if len(words) == 1 else LOOSE)
+    return frame
+
+
 def _place(name: str, attrs: str, outer: int) -> int:
-    """Where the content of an element stands."""
-    marks, role, unseen = set(), "", False
+    """Where the content of an element stands: plain, in an article, or in a kind of frame."""
+    marks, named, role, unseen = set(), 0, "", False
     for key, *values in ATTR.findall(attrs):
         key, value = key.lower(), html.unescape("".join(values))
         if key in ("class", "id"):
             marks.update(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
+            named = max(named, _named(value))
         elif key == "role":
             role = value.strip().lower()
         elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and UNSEEN.search(value)):
             unseen = True
     if name in ("html", "body"):
         return PLAIN
-    if unseen or outer == IN_FRAME or name in FRAME or role in FRAME_ROLES:
-        return IN_FRAME
-    if name in ARTICLE or role in ("main", "article"):
-        return IN_FRAME if marks & {"comment", "comments", "reply", "related", "ad", "advert"} else IN_ARTICLE
-    if name == "header" and outer != IN_ARTICLE:
-        return IN_FRAME
-    if marks & FRAME_NAMES and not (outer == IN_ARTICLE and marks & {"article", "content", "entry", "post", "body"}):
-        return IN_FRAME
-    return outer
+    if unseen or outer == SEALED:
+        return SEALED
+    is_main_part = name == "main" or role == "main"
+    if is_main_part or name == "article" or role == "article":
+        if named == SEALED:
+            return SEALED
+        return outer if outer == FIRM and not is_main_part else IN_ARTICLE
+    if named and outer == IN_ARTICLE and marks & {"article", "content", "entry", "post", "body"}:
+        named = 0
+    if name in FRAME or role in FRAME_ROLES or (name == "header" and outer != IN_ARTICLE):
+        # Some pages are one form as a whole.
+        named = max(named, LOOSE if name == "form" and role not in FRAME_ROLES else FIRM)
+    return max(outer, named) if named or outer >= IN_FRAME else outer
 
 
 def blocks(page: str) -> list[tuple[str, int, int, int]]:
@@ -219,7 +279,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
     def close() -> None:
         text = " ".join("".join(run).split())
         if text:
-            out.append((text, text.count(" ") + 1, len("".join(linked).split()), stack[-1][1] if stack else PLAIN))
+            out.append((text, text.count(" ") + 1, len("".join(linked).split()), min(IN_FRAME, stack[-1][1]) if stack else PLAIN))
         run.clear(), linked.clear()
 
     def say(text: str) -> None:

@@ -105,6 +105,72 @@ def test_main_text_of_a_page():
     assert html_text.main_text(f"<div><a>Home</a></div><div>{long}</div><div>{long}</div><div><a>More</a></div>") == "\n".join([long.strip()] * 2)
 
 
+ARTICLE = "<article><h1>Head line</h1>" + "".join(f"<p>Part {i} {'of a long text here ' * 12}</p>" for i in range(3)) + "</article>"
+
+
+@pytest.mark.parametrize(
+    "frame",
+    [
+        "<form id='aspnetForm'>{}</form>",
+        "<div class='layout with-sidebar'>{}</div>",
+        "<div class='content no-comments'>{}</div>",
+        "<div id='page' class='share-enabled'>{}</div>",
+        "<div class='l-side-by-side'>{}</div>",
+        "<div class='modal-open'>{}</div>",
+        "<div class='widget-area'><main>{}</main></div>",
+        "<div class='sidebar'><main>{}</main></div>",
+        "<section class='page menuOpen'>{}</section>",
+    ],
+)
+def test_frames_that_an_article_leads_out_of(frame):
+    text = html_text.main_text(ARTICLE)
+    assert text.count("\n") == 3
+    assert html_text.main_text(f"<body><nav><a>Home</a></nav>{frame.format(ARTICLE)}<footer>End</footer>") == text
+
+
+@pytest.mark.parametrize(
+    "frame",
+    [
+        "<section id='comments'>{}</section>",
+        "<div class='comments-area'><main>{}</main></div>",
+        "<div class='ad-box'>{}</div>",
+        "<aside>{}</aside>",
+        "<div class='sidebar'>{}</div>",
+        "<div style='display: none'>{}</div>",
+        "<div class='widget relatedPosts'>{}</div>",
+        "<form class='comment-form'>{}</form>",
+    ],
+)
+def test_frames_that_stay_frames(frame):
+    assert html_text.main_text(f"<body>{frame.format(ARTICLE)}") == ""
+
+
+def test_tree_between_the_rows_of_its_table():
+    """In articles plain text stays whatever stands around it and runs of links go; in frames all goes."""
+    sides = [(0, 0.0), (1, 0.0), (3, 1.0), (9, 0.0), (30, 0.1), (60, 1.0), (90, 0.0), (400, 0.0)]
+    for words in (1, 2, 5, 14, 22, 23, 40, 120, 500):
+        for before in sides:
+            for after in sides:
+                around = [*before, *after]
+                assert html_text.is_main([words, 0.0, *around, 1])
+                assert html_text.is_main([words, 0.15, *around, 1])
+                assert not html_text.is_main([words, 0.0, *around, 2])
+                if words < 30 and before[1] == 1.0 or after[1] == 1.0 and words < 12:
+                    assert not html_text.is_main([words, 1.0, *around, 0])
+                if words < 12 and before[1] == after[1] == 1.0:
+                    assert not html_text.is_main([words, 1.0, *around, 1])
+    for words in (20, 40, 300):
+        assert html_text.is_main([words, 0.0, 50, 0.0, 50, 0.0, 0])
+
+
+def test_list_of_links_in_an_article():
+    links = "<ul>" + "".join(f"<li><a href='/{i}'>More of {i}</a></li>" for i in range(8)) + "</ul>"
+    assert html_text.main_text(ARTICLE.replace("</article>", links + "</article>")) == html_text.main_text(ARTICLE)
+    one = "<p><a href='/x'>A link alone</a></p>"
+    inside = html_text.main_text(ARTICLE.replace("<p>Part 1", one + "<p>Part 1"))
+    assert inside.split("\n")[2] == "A link alone"
+
+
 def test_dropped_elements_end_with_their_parent():
     for page, text in (
         ('<p>One <svg class="i"/>two</p><p>Three <svg><text>no</text></svg>four</p>', "One two\nThree four"),
