@@ -115,17 +115,19 @@ def mix(
     )
     slots = spark.createDataFrame(one_cycle(share), "c_class string, c_number long, c_slot long")
 
-    docs = docs.drop(*[c for c in ADDED if c != id_col and c != source_col])
-    names = docs.columns
-    rows = docs.withColumn("__source", source).join(F.broadcast(known.select(F.col("s").alias("__named"))), F.col("__source") == F.col("__named"), "left")
-    rows = rows.withColumn("mix_class", F.coalesce("__named", F.lit(REST)))
-    return _placed(rows, names, plan, slots, cycle, block_docs, id_col, seed, sum(sizes.values()), bucket_rows)
+    # The row travels as one column, so that no name of it meets those used here.
+    whole = docs.drop(*[c for c in ADDED if c != id_col and c != source_col])
+    packed = whole.select(
+        F.xxhash64(F.col(id_col), F.lit(seed)).alias("__key"), F.col(id_col).alias("__id"), source.alias("__source"), F.struct("*").alias("__row")
+    )
+    rows = packed.join(F.broadcast(known.select(F.col("s").alias("__named"))), F.col("__source") == F.col("__named"), "left")
+    rows = rows.withColumn("mix_class", F.coalesce("__named", F.lit(REST))).drop("__source", "__named")
+    return _placed(rows, plan, slots, cycle, block_docs, sum(sizes.values()), bucket_rows)
 
 
-def _placed(rows, names, plan, slots, cycle, block_docs, id_col, seed, n_rows, bucket_rows) -> DataFrame:
-    key = F.xxhash64(F.col(id_col), F.lit(seed))
-    spread = [key, F.xxhash64(*names)]
-    ranked = numbered(rows, ["mix_class"], [key, F.col(id_col), F.xxhash64(*names)], "__number", spread, n_rows, bucket_rows)
+def _placed(rows, plan, slots, cycle, block_docs, n_rows, bucket_rows) -> DataFrame:
+    same = F.xxhash64("__row")
+    ranked = numbered(rows, ["mix_class"], [F.col("__key"), F.col("__id"), same], "__number", [F.col("__key"), same], n_rows, bucket_rows)
     block = F.floor(F.col("__number") / block_docs)
     first = ranked.withColumn("__block", block).join(F.broadcast(plan), F.col("mix_class") == F.col("p_class"))
     # Block b of a source comes as its blocks b, b + n, b + 2 n, ... in the mix.
@@ -138,7 +140,7 @@ def _placed(rows, names, plan, slots, cycle, block_docs, id_col, seed, n_rows, b
         .withColumn("mix_slot", slot.cast("long"))
         .where((F.col("mix_slot") < F.col("p_length")) | (F.col("mix_epoch") == 0))
         .withColumn("mix_rank", F.pmod(F.col("__number"), F.lit(block_docs)).cast("int"))
-        .select(*names, "mix_class", F.col("mix_epoch").cast("int"), F.col("mix_block").cast("long"), "mix_slot", "mix_rank")
+        .select("__row.*", "mix_class", F.col("mix_epoch").cast("int"), F.col("mix_block").cast("long"), "mix_slot", "mix_rank")
     )
 
 

@@ -52,6 +52,18 @@ def test_mix_uses_every_document(spark, weights):
     assert len({(r.doc_id, r.mix_epoch) for r in rows}) == len(rows)
 
 
+def test_mix_of_columns_with_its_own_names(spark):
+    """They come out as they went in; only the added columns replace others."""
+    names = ["p_class", "c_slot", "p_share", "__block", "__number", "__row", "__key", "__bucket", "s", "n"]
+    rows = [(i, "ab"[i % 2], *[f"{name}{i}" for name in names]) for i in range(30)]
+    df = spark.createDataFrame(rows, ["doc_id", "source", *names])
+    found = mixing.mix(df, block_docs=4)
+    assert found.columns == ["doc_id", "source", *names, *mixing.ADDED]
+    kept = found.where("mix_epoch = 0").select(*df.columns)
+    assert sorted(map(tuple, kept.collect())) == sorted(rows)
+    assert sorted(map(tuple, mixing.mixed_rows(df).distinct().collect())) == sorted(rows)
+
+
 def test_mix_of_odd_tables(spark):
     df = docs_table(spark, ODD)
     assert mixing.mix(df.limit(0)).count() == 0
