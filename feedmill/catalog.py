@@ -800,6 +800,45 @@ def states_stored(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+@_query(
+    f"""with {_FEED}, total as (select count(*) as t from feed),
+sizes as (select i, t * i // 4 as low, t * (i + 1) // 4 - t * i // 4 as n from total, range(4) r(i)),
+n as (select max(n) filter (where i = 0) as n0, max(n) filter (where i = 1) as n1, max(n) filter (where i = 2) as n2,
+  max(n) filter (where i = 3) as n3 from sizes),
+h as (select *, 100 * greatest(1, (n0 + 99) // 100) as h0 from n),
+h1 as (select *, h0 + 100 * greatest(0, (n0 + n1 - h0 + 99) // 100) as mark from h),
+h2 as (select *, mark + 100 * greatest(1, (n2 + 99) // 100) as h2 from h1),
+made as (
+  select 0 as i, 0 as start, n0 as n, h0 as hwm from h2 union all select 1, n0, n1, mark from h2
+  union all select 2, mark, n2, h2 from h2 union all select 3, h2 + 1000, n3, h2 + 1000 + 100 * greatest(1, (n3 + 99) // 100) from h2),
+used as (
+  select m.start + f.scn - s.low as scn from feed f join sizes s on f.scn > s.low and f.scn <= s.low + s.n join made m using (i)
+  where i <> 1 and f.scn % 50 not in (7, 8)),
+numbers as (select unnest(generate_series(1, (select max(hwm) from made))) as scn),
+missing as (
+  select scn, coalesce(b.i, -1) as of, case when b.i = 1 then 'batch not written' when b.i is not null then 'unknown'
+    when exists (select 1 from made r where scn > r.start and scn <= r.hwm) then 'rest of block' else 'unknown' end as reason
+  from numbers left join made b on scn > b.start and scn <= b.start + b.n where scn not in (select scn from used)),
+islands as (select *, scn - row_number() over (partition by of, reason order by scn) as island from missing)
+select min(scn) as first_scn, max(scn) as last_scn, count(*) as n_missing, reason from islands group by of, reason, island"""
+)
+def scn_gaps_explained(spark, sf_dir):
+    """A batch that was never written, records that went missing, a restart, and a mark set further on."""
+    path = scratch_folder(spark, "log")
+    feed = _feed(spark, sf_dir).persist()
+    total = feed.count()
+    create_log(spark, path)
+    for i, run in enumerate("aabc"):
+        low, high = total * i // 4, total * (i + 1) // 4
+        at_least = reserved.hwm + 1000 if i == 3 else 0
+        reserved = reserve_scn(spark, path, "parts", i, high - low, run=run, step=100, at_least=at_least)
+        part = feed.where((F.col("scn") > low) & (F.col("scn") <= high) & ~(F.col("scn") % 50).isin(7, 8))
+        if i != 1:
+            append_log(part.withColumn("scn", F.col("scn") - low + reserved.start_scn), path, i)
+    feed.unpersist()
+    return consume.scn_audit(read_log(spark, path), scn_state(spark, path), 500)
+
+
 _LIVE = f"""{_FEED}, placed as (
   select *, strptime(left(create_time, 19), '%Y-%m-%dT%H:%M:%S') as taken,
     strptime(create_time, '%Y-%m-%dT%H:%M:%S%g') as exact, (scn * 7919) % 3 as part from feed),

@@ -68,6 +68,54 @@ def scn_gaps(log: DataFrame, layout: OrderLayout | None = None) -> DataFrame:
     )
 
 
+def scn_audit(log: DataFrame, reservations: DataFrame, layout_rows: int | None = None) -> DataFrame:
+    """Why numbers are missing: (first_scn, last_scn, n_missing, reason), held against the log's reservations.
+
+    `rest of block`: reserved, but to no batch. `batch not written`: all numbers of
+    a batch; it is still to come, or it was reserved anew under others. `unknown`:
+    some numbers of a batch that has others, or numbers that nobody has reserved.
+    The numbers from the first record or reservation to the last are looked at.
+
+    Starts of batches and used numbers are points on one line, at odd and at even
+    places. What is missing lies between neighbours, so no interval is compared
+    with another, and each run belongs to the batch that began last.
+    """
+    first, last = F.col("start_scn") + 1, F.col("start_scn") + F.col("n")
+    # A block that was opened for nothing and then used has two reservations of one start.
+    made = reservations.groupBy("start_scn").agg(F.max("n_rows").alias("n"), F.max("hwm").alias("hwm"))
+    begun = made.select((2 * first - 1).alias("_at"), F.struct(first.alias("first"), last.alias("last"), "hwm").alias("_made"))
+    none = F.lit(None).cast(begun.schema["_made"].dataType).alias("_made")
+    end = made.agg((2 * F.max("hwm") + 1).alias("_at")).where(F.col("_at").isNotNull()).select("_at", none)
+    points = log.select((2 * F.col("scn")).alias("_at"), none).unionByName(begun).unionByName(end)
+    layout = order_layout(points, "_at", layout_rows)
+    placed = layout.add_to(points)
+    traced = previous_value(placed, [], "_at", F.col("_at"), "_before", BUCKET)
+
+    earlier = W.partitionBy(BUCKET).orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
+    ahead = W.orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)  # a row per bucket
+    carried = placed.groupBy(BUCKET).agg(F.expr("max_by(_made, _at) filter (where _made is not null)").alias("_last"))
+    carried = carried.select(BUCKET, F.last("_last", ignorenulls=True).over(ahead).alias("_far"))
+    near = traced.withColumn("_near", F.last("_made", ignorenulls=True).over(earlier))
+    runs = near.where(F.col("_at") - F.col("_before") > 1).join(F.broadcast(carried), BUCKET).select(
+        F.call_function("div", F.col("_before") + 2, F.lit(2)).alias("low"),
+        F.call_function("div", F.col("_at") - 1, F.lit(2)).alias("high"),
+        F.coalesce("_near", "_far").alias("of"),
+    )
+    low, high, of = F.col("low"), F.col("high"), F.col("of")
+    whole = (low == of["first"]) & (high >= of["last"])
+
+    def piece(start: Column, stop: Column, reason: Column) -> Column:
+        return F.struct(start.alias("first_scn"), stop.alias("last_scn"), (stop - start + 1).alias("n_missing"), reason.alias("reason"))
+
+    pieces = F.array(
+        piece(low, F.least(high, of["last"]), F.when(whole, "batch not written").otherwise("unknown")),
+        piece(F.greatest(low, of["last"] + 1), F.least(high, of["hwm"]), F.lit("rest of block")),
+        piece(F.greatest(low, of["hwm"] + 1), high, F.lit("unknown")),
+    )
+    cut = F.when(of.isNull(), F.array(piece(low, high, F.lit("unknown")))).otherwise(pieces)
+    return runs.select(F.inline(cut)).where(F.col("n_missing") > 0)
+
+
 def decode_payload(log: DataFrame, schema: T.StructType | str, out: str = "row") -> DataFrame:
     """Add the payload as typed columns in a struct; text that is no JSON gives NULL."""
     legal = F.try_parse_json("row_data").isNotNull()
