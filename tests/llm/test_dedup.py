@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 
@@ -83,6 +84,24 @@ def test_repeats_are_removed(spark, monkeypatch, hot, block):
     assert {r.doc_id: tuple(r)[1:] for r in rows} == dict(enumerate(wanted))
 
 
+@pytest.mark.parametrize("n_shards", [1, 7, 1000])
+def test_segments_are_dealt_as_one_row_each_whatever_the_shards(n_shards):
+    rng = random.Random(8)
+    text = " ".join(prose(rng, 60) for _ in range(20)).encode()
+    docs = [text, b"and " + text]
+    sizes = np.array([len(d) for d in docs], np.int64).tobytes()
+    blob = zstandard.ZstdCompressor(level=1).compress(b"".join(docs))
+    w = suffix_dedup.Windows(sizes, blob)
+    rows = pa.table({"block": pa.array([5], pa.int64()), "sizes": pa.array([sizes]), "blob": pa.array([blob])})
+    codes = pa.table({"owner": pa.array([0], pa.int64()), "codes": pa.array([(w.counts > 1).astype(np.uint8).tobytes()])})
+    dealt = suffix_dedup._deal(n_shards)(rows, codes)
+    starts, lengths, keys = suffix_dedup._segments(w, codes)
+    assert dealt.num_rows == len(suffix_dedup._distinct(w.buf, starts, lengths, keys)[0]) > 50
+    assert sum(dealt["copies"].to_pylist()) == len(starts)
+    held = {(w.buf[a : a + k].tobytes()) for a, k in zip(starts.tolist(), lengths.tolist(), strict=True)}
+    assert set(dealt["bytes"].to_pylist()) == held
+
+
 def test_repeats_of_odd_tables(spark):
     df = docs_table(spark, ODD)
     assert suffix_dedup.remove_repeats(df.limit(0)).count() == 0
