@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedmill.operators.spread import BUCKET, OrderLayout, order_layout
+from feedmill.operators.spread import BUCKET, PART, OrderLayout, order_layout
 from feedmill.schemas import SCN_STEP
 
 
@@ -14,9 +14,9 @@ def bucket_counts(df: DataFrame, layout: OrderLayout) -> DataFrame:
 
 
 def _place(df: DataFrame, layout: OrderLayout) -> DataFrame:
-    """Each bucket in the partition of its own number."""
-    placed = layout.add_to(df).where(F.col(BUCKET).isNotNull())
-    return placed.repartitionById(layout.n_buckets, BUCKET)
+    """Each bucket in the partition of its own number, or with its neighbours where buckets are many and small."""
+    placed = layout.add_to(df).where(F.col(BUCKET).isNotNull()).withColumn(PART, layout.part())
+    return placed.repartitionById(layout.n_parts, PART)
 
 
 def _label_counts(labels: DataFrame, layout: OrderLayout) -> DataFrame:
@@ -27,7 +27,7 @@ def _label_counts(labels: DataFrame, layout: OrderLayout) -> DataFrame:
     """
     any_key = F.col("_key") >= F.lit(-(2**63))
     present = F.col("event_type").isNotNull() & (F.col("seq") >= layout.low) & any_key
-    return _place(labels, layout).groupBy(BUCKET).agg(F.count_if(present).alias("_n"))
+    return _place(labels, layout).groupBy(PART, BUCKET).agg(F.count_if(present).alias("_n")).drop(PART)
 
 
 def _offsets(counts: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def _numbered(
     df: DataFrame, order_col: str, start: int, layout: OrderLayout, counts: DataFrame | None
 ) -> DataFrame:
     placed = _place(df, layout)
-    within = W.partitionBy(BUCKET).orderBy(order_col)
+    within = W.partitionBy(PART, BUCKET).orderBy(order_col)
     offsets = _offsets(bucket_counts(df, layout) if counts is None else counts)
     numbered = placed.withColumns(
         {"_rn": F.row_number().over(within), "_twin": F.lag(order_col).over(within)}
@@ -67,7 +67,7 @@ def assign_scn(
     """Number the rows `start + 1`, `start + 2`, ... in the order of `order_col`.
 
     A value of `order_col` that comes twice fails the job.
-    Each bucket goes to the partition of its own number and is numbered there;
+    Each bucket goes to a partition with its neighbours and is numbered there;
     the rows before it come from the counts, which are broadcast since there is
     one per bucket. The result is range-partitioned by `scn` and sorted, so
     files written from it can be skipped by their smallest and largest `scn`.
@@ -93,7 +93,7 @@ def number_labelled(
     """
     known = labels.where(F.col("seq").isNotNull()).select("seq", "event_type", _key_hash())
     counts = _label_counts(known, layout) if counts is None else counts
-    within = W.partitionBy(BUCKET).orderBy("seq")
+    within = W.partitionBy(PART, BUCKET).orderBy("seq")
     labelled = F.col("event_type").isNotNull()
     traced = _place(known, layout).withColumns(
         {
@@ -105,7 +105,7 @@ def number_labelled(
     scn = F.col("_offset") + F.col("_rn") + F.lit(start)
     heads = kept.join(F.broadcast(_offsets(counts)), BUCKET).withColumn("scn", scn.cast("long"))
     bodies = _place(payload.withColumn("_key", _key_hash()), layout)
-    joined = bodies.join(heads.select(BUCKET, "seq", "_key", "event_type", "scn").hint("merge"), [BUCKET, "seq", "_key"])
+    joined = bodies.join(heads.select(PART, BUCKET, "seq", "_key", "event_type", "scn").hint("merge"), [PART, BUCKET, "seq", "_key"])
     return joined.select("scn", "event_type", *payload.columns)
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
+#: The task that works on a bucket and its neighbours.
+PART = "_part"
 
 # Rows one task should take at most, and the least worth a task of its own.
 TASK_ROWS = 250_000
@@ -29,7 +31,10 @@ SKETCH_GROUPS = 512
 
 @dataclass(frozen=True)
 class OrderLayout:
-    """Buckets of a unique integer order column, 0 to `n_buckets - 1` in its order."""
+    """Buckets of a unique integer order column, 0 to `n_buckets - 1` in its order.
+
+    Neighbouring buckets share a task where there are more of them than `most_parts`.
+    """
 
     order_col: str
     rows: int
@@ -38,6 +43,15 @@ class OrderLayout:
     width: int
     n_buckets: int
     splits: tuple[float, ...] = field(default=(), repr=False)
+    most_parts: int = MAX_BUCKETS
+
+    @property
+    def n_parts(self) -> int:
+        return min(self.n_buckets, self.most_parts)
+
+    def part(self) -> Column:
+        """The task of a bucket; tasks are in the order of their buckets."""
+        return F.expr(f"cast({BUCKET} * {self.n_parts}L div {self.n_buckets}L as int)")
 
     def add_to(self, df: DataFrame, out: str = BUCKET) -> DataFrame:
         value = F.col(self.order_col)
@@ -62,21 +76,23 @@ def order_layout(df: DataFrame, order_col: str = "seq", task_rows: int | None =
     low, high, rows = df.agg(F.min(value), F.max(value), F.count(value)).first()
     if not rows:
         return OrderLayout(order_col, 0, 0, -1, 1, 1)
+    fair = max(MIN_TASK_ROWS, min(TASK_ROWS, -(-rows // spark.sparkContext.defaultParallelism)))
+    # Equal widths may give four times as many buckets as that.
+    parts = -(-4 * rows // fair)
     if task_rows is None:
-        fair = -(-rows // spark.sparkContext.defaultParallelism)
-        task_rows = max(MIN_TASK_ROWS, min(TASK_ROWS, fair))
+        task_rows = fair
     task_rows = max(task_rows, -(-rows // MAX_BUCKETS))
     buckets = -(-rows // task_rows)
     span = high - low + 1
     if span <= 4 * rows:
         width = max(task_rows, -(-span // MAX_BUCKETS))
-        return OrderLayout(order_col, rows, low, high, width, -(-span // width))
+        return OrderLayout(order_col, rows, low, high, width, -(-span // width), most_parts=parts)
     if buckets == 1:
         return OrderLayout(order_col, rows, low, high, span, 1)
     shares = [i / buckets for i in range(1, buckets)]
     inner = df.approxQuantile(order_col, shares, 1 / (4 * buckets))
     splits = (float("-inf"), *sorted(set(inner)), float("inf"))
-    return OrderLayout(order_col, rows, low, high, 0, len(splits) - 1, splits)
+    return OrderLayout(order_col, rows, low, high, 0, len(splits) - 1, splits, parts)
 
 
 def hot_keys(df: DataFrame, key_hash: str, hot_rows: int, rows: int) -> list[int]:

@@ -14,6 +14,8 @@ from feedmill.operators.settings import (
     upsert_index_settings,
     upsert_node_settings,
 )
+from feedmill.operators import spread
+from feedmill.operators.scn import assign_scn
 from feedmill.operators.spread import order_layout
 from feedmill.plans.feed import FeedOptions, change_feed, change_records
 from feedmill.schemas import (
@@ -105,6 +107,24 @@ def test_flags_of_the_source_are_kept(spark):
     assert "Exchange" not in plan
 
 
+@pytest.mark.parametrize(("least", "parts"), [(100, 80), (16_384, 1)])
+def test_many_small_buckets_share_tasks(spark, monkeypatch, least, parts):
+    monkeypatch.setattr(spread, "MIN_TASK_ROWS", least)
+    monkeypatch.setattr(spread, "TASK_ROWS", least)
+    ops = ops_table(spark, random_ops(2000, 4, hot=0.2))
+    layout = order_layout(ops, task_rows=5)
+    assert (layout.n_buckets, layout.n_parts) == (400, parts)
+    options = FeedOptions(hot_rows=20)
+    found = change_feed(ops, all_tables(spark), options=options, layout=layout).withColumn("task", F.spark_partition_id()).collect()
+    whole = change_feed(ops, all_tables(spark), options=options).collect()
+    assert sorted(tuple(r)[:-1] for r in found) == sorted(map(tuple, whole))
+    # One task for each of the buckets before; Spark may deal the rows of a single part anew.
+    assert len({r.task for r in found}) <= max(parts, 4)
+    numbered = assign_scn(ops, layout=layout).select("scn", "seq", F.spark_partition_id().alias("task")).collect()
+    assert [r.scn for r in sorted(numbered, key=lambda r: r.seq)] == list(range(1, len(numbered) + 1))
+    assert len({r.task for r in numbered}) <= max(parts, 4)
+
+
 # --- gate -------------------------------------------------------------------
 
 STATIC = {
