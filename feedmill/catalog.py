@@ -50,6 +50,9 @@ from feedmill.tables import small_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Rows that a task writes to a file which a stream takes in.
+FILE_ROWS = 250_000
+
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
@@ -734,33 +737,35 @@ def feed_stream(spark, sf_dir):
 @_query(f"with {_FEED} select {_COLS} from feed")
 def feed_stream_batches(spark, sf_dir):
     """Four files of ops, one per micro-batch: what a batch leaves of live keys the next one finds."""
-    path, checkpoint = scratch_folder(spark, "log"), scratch_folder(spark, "checkpoint")
-    folder, events = scratch_folder(spark, "ops"), _table(spark, sf_dir, "events")
-    cuts = events.approxQuantile("event_id", [0.25, 0.5, 0.75], 0.05)
-    bounds = [float("-inf"), *cuts, float("inf")]
-    for low, high in zip(bounds, bounds[1:]):
-        part = events.where((F.col("event_id") > low) & (F.col("event_id") <= high))
-        event_ops(part).coalesce(1).write.mode("append").parquet(folder)
-    ops = stream_ops(spark, folder, max_files=1)
+    path, checkpoint, folder = (scratch_folder(spark, n) for n in ("log", "checkpoint", "ops"))
+    pieces = _in_files(_ops(spark, sf_dir), "seq", 4, folder)
+    ops = stream_ops(spark, folder, max_files=pieces)
     stream_to_log(ops, static_settings(spark), path, checkpoint, availableNow=True).awaitTermination()
     return read_log(spark, path).select(*CHANGE_COLUMNS)
 
 
-def _in_files(df: DataFrame, order_col: str, n: int, folder: str) -> None:
-    """Append a table as `n` files, in order of a column; whole ranges, so all rows."""
-    cuts = df.approxQuantile(order_col, [i / n for i in range(1, n)], 0.01)
-    bounds = [float("-inf"), *cuts, float("inf")]
-    for low, high in zip(bounds, bounds[1:]):
-        part = df.where((F.col(order_col) > low) & (F.col(order_col) <= high))
-        part.coalesce(1).write.mode("append").parquet(folder)
+def _in_files(df: DataFrame, order_col: str, n: int, folder: str) -> int:
+    """Append a table as `n` files, in order of a column; whole ranges, so all rows.
+
+    A file of more than `FILE_ROWS` rows is as many pieces, written and read side by
+    side; how many, which is the same for all, is returned.
+    """
+    pieces = max(1, -(-df.count() // (n * FILE_ROWS)))
+    cuts = [int(c) for c in df.approxQuantile(order_col, [i / n for i in range(1, n)], 0.01)]
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = df if low is None else df.where(F.col(order_col) > low)
+        part = part if high is None else part.where(F.col(order_col) <= high)
+        spread = part.repartition(pieces) if pieces > 1 else part.coalesce(1)
+        spread.write.mode("append").parquet(folder)
+    return pieces
 
 
 @_query(f"with {_FEED} select {_COLS} from feed")
 def feed_stream_bounded(spark, sf_dir):
     """Bounded intake: seven files of ops, at most two in a micro-batch; what doesn't fit waits and is not dropped."""
     path, checkpoint, folder = (scratch_folder(spark, n) for n in ("log", "checkpoint", "ops"))
-    _in_files(_ops(spark, sf_dir), "seq", 7, folder)
-    ops = stream_ops(spark, folder, max_files=2)
+    pieces = _in_files(_ops(spark, sf_dir), "seq", 7, folder)
+    ops = stream_ops(spark, folder, max_files=2 * pieces)
     query = stream_to_log(ops, static_settings(spark), path, checkpoint, availableNow=True)
     query.awaitTermination()
     if scn_state(spark, path).count() != 4:

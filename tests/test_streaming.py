@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from feedmill import catalog
 from feedmill.operators import consume
 from feedmill.operators.filters import applied_ops
 from feedmill.operators.liveness import with_liveness
@@ -189,3 +190,28 @@ def test_log_as_a_stream(spark, tmp_path):
     append_log(log, path, 0)
     append_log(log.withColumns({"scn": F.col("scn") + 5, "create_time": F.lit("1999-01-01T00:00:00000")}), path, 1)
     assert follow().count() == 10
+
+
+def test_input_of_a_stream_is_written_in_pieces_side_by_side(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "FILE_ROWS", 30)
+    df, folder = spark.range(1000).withColumnRenamed("id", "seq"), str(tmp_path / "ops")
+    pieces = catalog._in_files(df, "seq", 7, folder)
+    assert pieces == 5
+    files = sorted((tmp_path / "ops").glob("*.parquet"), key=lambda p: p.stat().st_mtime_ns)
+    assert len(files) == 7 * pieces  # one file each before, written by one task
+    upto = -1
+    for at in range(0, len(files), pieces):
+        seqs = sorted(r.seq for r in spark.read.parquet(*map(str, files[at : at + pieces])).collect())
+        assert seqs == list(range(upto + 1, upto + 1 + len(seqs)))
+        upto = seqs[-1]
+    assert upto == 999
+
+
+@pytest.mark.parametrize("name", ["feed_stream_batches"])
+def test_pieces_of_a_file_come_in_one_batch(spark, sf_dir, tmp_path, monkeypatch, name):
+    monkeypatch.setattr(catalog, "FILE_ROWS", 60)
+    monkeypatch.setattr(catalog, "scratch_folder", lambda spark, kind: str(tmp_path / kind))
+    rows = catalog.QUERIES[name](spark, sf_dir).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, catalog.QUERIES["change_feed"](spark, sf_dir).collect()))
+    assert len(list((tmp_path / "ops").glob("*.parquet"))) > 7
+    assert len([p for p in (tmp_path / "checkpoint/offsets").iterdir() if p.name.isdigit()]) == 4
