@@ -207,7 +207,7 @@ def test_input_of_a_stream_is_written_in_pieces_side_by_side(spark, tmp_path, mo
     assert upto == 999
 
 
-@pytest.mark.parametrize("name", ["feed_stream_batches"])
+@pytest.mark.parametrize("name", ["feed_stream_batches", "feed_stream_bounded"])
 def test_pieces_of_a_file_come_in_one_batch(spark, sf_dir, tmp_path, monkeypatch, name):
     monkeypatch.setattr(catalog, "FILE_ROWS", 60)
     monkeypatch.setattr(catalog, "scratch_folder", lambda spark, kind: str(tmp_path / kind))
