@@ -50,8 +50,8 @@ from feedmill.tables import small_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: Rows that a task writes to a file which a stream takes in.
-FILE_ROWS = 250_000
+#: Rows that a task writes to a file which a stream takes in, and those of a file of the log that a stream follows.
+FILE_ROWS, LOG_FILE_ROWS = 250_000, 1_000_000
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -917,16 +917,17 @@ def log_stream(spark, sf_dir):
     checkpoint = scratch_folder(spark, "checkpoint")
     create_log(spark, path)
     feed = _feed(spark, sf_dir).persist()
+    n = max(1, -(-feed.count() // (3 * LOG_FILE_ROWS)))
     thirds = [feed.where(F.col("scn") % 3 == i) for i in (2, 0, 1)]
 
     def follow():
         copy_stream(stream_log(spark, path, max_files=1), copy, checkpoint, availableNow=True).awaitTermination()
 
     for i, third in enumerate(thirds[:2]):
-        append_log(third, path, i)
+        append_log(third.coalesce(n), path, i)
     follow()
-    append_log(thirds[0], path, 0)
-    append_log(thirds[2].coalesce(2), path, 2)
+    append_log(thirds[0].coalesce(n), path, 0)
+    append_log(thirds[2].coalesce(max(2, n)), path, 2)
     follow()
     feed.unpersist()
     return spark.read.parquet(copy).select(*CHANGE_COLUMNS)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedmill import catalog
-from feedmill.operators import consume
+from feedmill.operators import consume, spread
 from feedmill.operators.filters import applied_ops
 from feedmill.operators.liveness import with_liveness
 from feedmill.plans.feed import FeedOptions, change_feed
@@ -215,3 +215,14 @@ def test_pieces_of_a_file_come_in_one_batch(spark, sf_dir, tmp_path, monkeypatch
     assert sorted(map(tuple, rows)) == sorted(map(tuple, catalog.QUERIES["change_feed"](spark, sf_dir).collect()))
     assert len(list((tmp_path / "ops").glob("*.parquet"))) > 7
     assert len([p for p in (tmp_path / "checkpoint/offsets").iterdir() if p.name.isdigit()]) == 4
+
+
+def test_a_followed_log_has_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(spread, "MIN_TASK_ROWS", 500)
+    monkeypatch.setattr(spread, "TASK_ROWS", 500)
+    monkeypatch.setattr(catalog, "scratch_folder", lambda spark, kind: str(tmp_path / kind))
+    sf_dir = "/root/testdata/sf0.01"
+    rows = catalog.QUERIES["log_stream"](spark, sf_dir).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, catalog.QUERIES["change_feed"](spark, sf_dir).collect()))
+    # A file of each third, one of them written again, two of the last third; before, one for each of 20 buckets.
+    assert len([p for p in (tmp_path / "checkpoint/offsets").iterdir() if p.name.isdigit()]) == 5
