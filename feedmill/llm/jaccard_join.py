@@ -10,7 +10,7 @@ Links are pairs of sets whose intersection is at least `percent` of their union.
    may have. Sets that list the same subset and are small enough are linked; the
    smallest is joined to each of the others, which keeps what hangs together together.
 4. Heavy sets are found by inverted lists of their rarest shingles. Every list
-   joins its members to its first one; pairs that prove similar make components.
+   joins its members to the one whose shingles are most frequent; pairs that prove similar make components.
    Lists that still hold several components have their other pairs compared, but
    for those whose signatures differ in too many bits.
 5. The boundary between light and heavy is the size where the estimated number of
@@ -231,21 +231,29 @@ def _list_subsets(percent: int):
 
 
 def _list_prefixes(percent: int, light: int):
-    """(shingle, sid, n, rest) of the rarest shingles of every set; rest: shingles from here on."""
+    """(shingle, sid, n, rest, known) of the rarest shingles of every set.
+
+    rest: shingles from here on; known: how frequent the set's shingles are, on average.
+    """
 
     def listed(batches):
         for batch in batches:
-            rows: list[list] = [[], [], [], []]
-            for sid, n, alone, shared in zip(*(batch[c].to_pylist() for c in ("sid", "n", "alone", "shared")), strict=True):
+            rows: list[list] = [[], [], [], [], []]
+            columns = (batch[c].to_pylist() for c in ("sid", "n", "alone", "shared", "levels"))
+            for sid, n, alone, shared, levels in zip(*columns, strict=True):
                 values = np.frombuffer(shared, np.int64)
                 k = min(len(values), n - least_common(n, percent) + 1 - alone)
                 rows[0].append(values[:k]), rows[3].append(len(values) - np.arange(k))
-                rows[1].extend([sid] * k), rows[2].extend([n] * k)
+                known = 1000 * int(np.frombuffer(levels, np.uint8).sum(dtype=np.int64)) // n
+                rows[1].extend([sid] * k), rows[2].extend([n] * k), rows[4].extend([known] * k)
             if rows[0]:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(rows[0])), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.int64()), pa.array(np.concatenate(rows[3]))],
-                    ["shingle", "sid", "n", "rest"],
-                )
+                    [
+                        pa.array(np.concatenate(rows[0])), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.int64()),
+                        pa.array(np.concatenate(rows[3])), pa.array(rows[4], pa.int64()),
+                    ],
+                    ["shingle", "sid", "n", "rest", "known"],
+                )
 
     return listed
 
@@ -299,12 +307,16 @@ def set_components(sets: DataFrame, percent: int) -> DataFrame:
         .select(F.col("least.sid").alias("a"), F.col("sid").alias("b"))
     )
 
-    entries = written(sets.mapInArrow(_list_prefixes(percent, light), "shingle long, sid binary, n long, rest long"), "lists")
-    # A list of light sets alone has nothing to find.
+    entries = written(
+        sets.mapInArrow(_list_prefixes(percent, light), "shingle long, sid binary, n long, rest long, known long"), "lists"
+    )
+    # A set whose shingles are frequent has few changes of its own: copies that differ in theirs are like it, if not like each other.
     heads = entries.groupBy("shingle").agg(
-        F.min("sid").alias("a"), F.count(F.lit(1)).alias("k"), F.max("n").alias("most"), F.min_by("n", "sid").alias("n_a")
+        F.max(F.struct("known", "sid", "n")).alias("head"), F.count(F.lit(1)).alias("k"), F.max("n").alias("most")
     )
+    # A list of light sets alone has nothing to find.
     heads = heads.where((F.col("k") > 1) & (F.col("most") > light))
+    heads = heads.select("shingle", F.col("head.sid").alias("a"), F.col("head.n").alias("n_a"))
     stars = entries.join(heads, "shingle").where((F.col("sid") != F.col("a")) & _near("n", "n_a", percent))
     tried = written(stars.select(F.least("a", "sid").alias("a"), F.greatest("a", "sid").alias("b")).distinct(), "pairs")
     found = written(light_links.distinct().unionByName(_verified(tried, sets, percent)), "found")

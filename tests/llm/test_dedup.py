@@ -138,6 +138,30 @@ def test_jaccard_of_many_different_near_copies(spark):
     assert found == components(texts, 4, 85)
 
 
+def test_copies_of_a_passage_are_linked_by_the_one_without_changes(spark, monkeypatch):
+    """Versions that are like the passage and not like each other: no pairs of versions are left to compare."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(200):
+        w = list(base)
+        for _ in range(1 + i % 2):
+            w[rng.randrange(10, 140)] = f"v{rng.randrange(10**6)}"
+        texts.append(" ".join(w))
+    texts.insert(77, " ".join(base))
+    tried = []
+
+    def noted(pairs, sets, percent):
+        tried.append(pairs.count())
+        return verified(pairs, sets, percent)
+
+    verified = jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", noted)
+    rows = jaccard_join.jaccard_components(docs_table(spark, texts), width=4, percent=85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == components(texts, 4, 85)
+    assert len(tried) == 2 and sum(tried) < 3 * len(texts)
+
+
 def test_boundary_follows_the_costs():
     assert jaccard_join.boundary([(8, 10, 0), (30, 1, 10)], 85) == 0
     assert jaccard_join.boundary([(8, 10, 10**6), (30, 1, 10)], 85) == 8
