@@ -15,7 +15,7 @@ from feedmill.llm.common import bytes_of, slices, whole, written
 BLOCK = 1 << 20
 
 
-def _pack(batches):
+def pack(batches):
     """Blocks: number, ids, sizes and the texts, compressed."""
     part, count = TaskContext.get().partitionId(), 0
     squeeze = zstandard.ZstdCompressor(level=1)
@@ -50,7 +50,7 @@ def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """A written table of blocks: block, ids, sizes and the compressed texts; null texts are empty."""
     kind = dict(docs.dtypes)[id_col]
     source = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
-    return written(source.mapInArrow(_pack, f"block long, ids array<{kind}>, sizes binary, blob binary"), "blocks")
+    return written(source.mapInArrow(pack, f"block long, ids array<{kind}>, sizes binary, blob binary"), "blocks")
 
 
 def unpacked(sizes: bytes, blob: bytes) -> tuple[np.ndarray, np.ndarray]:

@@ -14,17 +14,19 @@ so that both are distributions over words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.llm import blocks as packing
 from feedmill.llm import flat
-from feedmill.llm.common import written
+from feedmill.llm.common import whole, written
 from feedmill.llm.sentence_pieces import SPACE, load
 
 BEGIN, END = 1, 2
@@ -35,8 +37,8 @@ WIDTH, EXPERTS = 16, 16
 ROUNDS, RATE = 4, 0.06
 #: Training steps of a round at least: where windows are few, they come again.
 STEPS = 60
-#: Windows of one training step and of one scoring batch.
-STEP, BATCH = 64, 256
+#: Windows of one training step, and of what is worked out at a time, in a processor's cache, in training and scoring.
+STEP, BATCH = 256, 64
 #: Windows that a training task holds and shuffles at a time: `STEPS` steps or more.
 POOL = 1 << 14
 #: Weight of the attention model in the mix.
@@ -45,6 +47,17 @@ CHUNK = 1 << 16
 FOLDS, HELD_OUT = 7, 2
 
 
+def _keep_some_memory() -> None:
+    """Steps ask for the same few megabytes again and again: so much stays with the worker."""
+    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
+    if mallopt is not None:
+        mallopt(-3, 8 << 20)  # M_MMAP_THRESHOLD
+        mallopt(-1, 32 << 20)  # M_TRIM_THRESHOLD
+
+
+_keep_some_memory()
+
+
 class Words:
     """The lower-cased words of a block: positions and hashes, and which words each document has."""
 
@@ -58,11 +71,16 @@ class Words:
         self.first = np.searchsorted(self.starts, at)
         self.values, self.back = np.unique(self.hashes, return_inverse=True)
 
-    def spoken(self, doc: int) -> bytes:
-        """The words of a document with one space between them."""
-        a, b = self.first[doc], self.first[doc + 1]
-        buf = self.buf[self.starts[a] : self.ends[b - 1]] if b > a else self.buf[:0]
-        return b" ".join(buf.tobytes().replace(SPACE.encode(), b"_").split())
+    def spoken(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct words, in the order of `values`, as the model reads them: bytes, starts and ends, each with a space first."""
+        one = np.empty(len(self.values), np.int64)
+        one[self.back] = np.arange(len(self.back))  # any place that a word has
+        n = self.ends[one] - self.starts[one] + 1
+        buf = self.buf[np.maximum(flat.ranges(self.starts[one] - 1, n), 0)]
+        buf[np.cumsum(n) - n] = 32
+        buf = np.frombuffer(buf.tobytes().replace(SPACE.encode(), b"_"), np.uint8)
+        starts = np.flatnonzero(buf == 32)
+        return buf, starts, np.append(starts[1:], len(buf))[: len(starts)]
 
 
 def _held_out(ids: list) -> np.ndarray:
@@ -71,19 +89,82 @@ def _held_out(ids: list) -> np.ndarray:
     return np.array([i is not None and crc32(str(i).encode()) % FOLDS == HELD_OUT for i in ids], bool)
 
 
-def _tell(n_owners: int):
-    def tell(batches):
-        for batch in batches:
+def small(x: np.ndarray) -> bytes:
+    """Numbers of 0 or more in the fewest bytes that hold the largest, compressed."""
+    x = x.astype(np.min_scalar_type(int(x.max(initial=0))))
+    return bytes([x.itemsize]) + zstandard.compress(x.tobytes(), 1)
+
+
+def large(cell: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(cell[1:]), f"u{cell[0]}")
+
+
+def steps(values: np.ndarray) -> bytes:
+    """Rising hashes as their differences, byte by byte, compressed."""
+    return zstandard.compress(np.diff(values, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def risen(cell: bytes) -> np.ndarray:
+    octets = np.frombuffer(zstandard.decompress(cell), np.uint8).reshape(8, -1)
+    return np.cumsum(octets.T.copy().view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _code(model: str):
+    """Blocks of texts as numbers: ids of the distinct words, which of them come one after the other, and their counts.
+
+    No piece reaches over the start of a word, so that a word has the same ids wherever it is.
+    """
+
+    def code(batches):
+        tool = load(model)
+        for batch in packing.pack(batches):
             for block, ids, sizes, blob in zip(*(batch[c].to_pylist() for c in ("block", "ids", "sizes", "blob")), strict=True):
                 w = Words(sizes, blob)
+                found, k = tool.encode_spans(*w.spoken())
                 train = np.repeat(~_held_out(ids), np.diff(w.first))
-                counts = np.bincount(w.back[train], minlength=len(w.values)).astype(np.uint32)
-                cuts = packing.cuts(packing.owners(w.values, n_owners))
+                counts = np.bincount(w.back[train], minlength=len(w.values))
+                row = {"n_words": np.diff(w.first), "back": w.back, "k": k, "pieces": found, "counts": counts}
+                cells = {c: pa.array([small(x)], pa.binary()) for c, x in row.items()}
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "block": pa.array([block], pa.int64()), "ids": pa.array([ids], batch.schema.field("ids").type),
+                        **cells, "hashes": pa.array([steps(w.values)], pa.binary()),
+                    }
+                )
+
+    return code
+
+
+class Coded:
+    """A block's texts as ids, made of those of its distinct words."""
+
+    def __init__(self, n_words: bytes, back: bytes, k: bytes, pieces: bytes):
+        self.n_words, self.back, self.k, self.pieces = (large(x) for x in (n_words, back, k, pieces))
+
+    def flow(self, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the documents that are marked, one after the other, and how many each has."""
+        back = self.back[np.repeat(docs, self.n_words)]
+        k = self.k.astype(np.int64)
+        starts, k = np.cumsum(k) - k, k[back]
+        total = np.concatenate([[0], np.cumsum(k)])
+        ends = np.concatenate([[0], np.cumsum(self.n_words[docs], dtype=np.int64)])
+        return self.pieces[flat.ranges(starts[back], k)].astype(np.int32), np.diff(total[ends])
+
+
+CODED = ("ids", "n_words", "back", "k", "pieces")
+
+
+def _tell(n_owners: int):
+    def tell(batches):
+        for batch in batches:
+            for block, hashes, counts in zip(*(batch[c].to_pylist() for c in ("block", "hashes", "counts")), strict=True):
+                values, counts = risen(hashes), large(counts)
+                cuts = packing.cuts(packing.owners(values, n_owners))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([block] * len(cuts), pa.int64()), pa.array([o for o, _, _ in cuts], pa.int64()),
-                        pa.array([w.values[a:b].tobytes() for _, a, b in cuts], pa.binary()),
-                        pa.array([counts[a:b].tobytes() for _, a, b in cuts], pa.binary()),
+                        pa.array([steps(values[a:b]) for _, a, b in cuts], pa.binary()),
+                        pa.array([small(counts[a:b]) for _, a, b in cuts], pa.binary()),
                     ],
                     ["block", "owner", "hashes", "counts"],
                 )
@@ -93,41 +174,34 @@ def _tell(n_owners: int):
 
 def _sum(table: pa.Table) -> pa.Table:
     """The corpus's count of each word that a block asks for; tokens and distinct words of the owner in its first row."""
-    lists = [np.frombuffer(x, np.uint64) for x in table["hashes"].to_pylist()]
-    counts = np.concatenate([np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()]).astype(np.int64)
+    lists = [risen(x) for x in table["hashes"].to_pylist()]
+    counts = np.concatenate([large(x) for x in table["counts"].to_pylist()]).astype(np.int64)
     values, back = np.unique(np.concatenate(lists), return_inverse=True)
     sums = np.bincount(back, counts, len(values)).astype(np.int64)
     parts = np.split(sums[back], np.cumsum([len(x) for x in lists])[:-1])
     none = [0] * (len(lists) - 1)
     return pa.table(
         {
-            "block": table["block"], "owner": table["owner"], "counts": pa.array([p.tobytes() for p in parts], pa.binary()),
+            "block": table["block"], "owner": table["owner"], "counts": pa.array([small(p) for p in parts], pa.binary()),
             "tokens": pa.array([int(sums.sum()), *none], pa.int64()), "distinct": pa.array([int((sums > 0).sum()), *none], pa.int64()),
         }
     )
 
 
-def _windows(model: str):
+def _windows(batches):
     """All windows of ids of every training text. Each id, and the end, is a target once."""
-
-    def windows(batches):
-        tool = load(model)
-        for batch in batches:
-            for ids, sizes, blob in zip(*(batch[c].to_pylist() for c in ("ids", "sizes", "blob")), strict=True):
-                w = Words(sizes, blob)
-                found, k = tool.encode([w.spoken(i) for i in np.flatnonzero(~_held_out(ids)).tolist()])
-                k = np.asarray(k, np.int64)
-                stops = np.cumsum(k + 2)
-                starts = stops - k - 2
-                flow = np.empty(int((k + 2).sum()), np.int32)
-                flow[starts], flow[stops - 1], flow[flat.ranges(starts + 1, k)] = BEGIN, END, found
-                n = k // WINDOW + 1
-                base = np.repeat(starts, n) + flat.ranges(np.zeros_like(n), n) * WINDOW
-                at = base[:, None] + np.arange(WINDOW + 1)
-                rows = np.where(at < np.repeat(stops, n)[:, None], flow[np.minimum(at, len(flow) - 1)], -1).astype(np.int32) if len(k) else at
-                yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64()), pa.array([rows.tobytes()], pa.binary())], ["n", "windows"])
-
-    return windows
+    for batch in batches:
+        for ids, *coded in zip(*(batch[c].to_pylist() for c in CODED), strict=True):
+            found, k = Coded(*coded).flow(~_held_out(ids))
+            stops = np.cumsum(k + 2)
+            starts = stops - k - 2
+            flow = np.empty(int((k + 2).sum()), np.int32)
+            flow[starts], flow[stops - 1], flow[flat.ranges(starts + 1, k)] = BEGIN, END, found
+            n = k // WINDOW + 1
+            base = np.repeat(starts, n) + flat.ranges(np.zeros_like(n), n) * WINDOW
+            at = base[:, None] + np.arange(WINDOW + 1)
+            rows = np.where(at < np.repeat(stops, n)[:, None], flow[np.minimum(at, len(flow) - 1)], -1).astype(np.int32) if len(k) else at
+            yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64()), pa.array([rows.tobytes()], pa.binary())], ["n", "windows"])
 
 
 def shapes(n_ids: int) -> dict[str, tuple[int, ...]]:
@@ -155,7 +229,7 @@ def initial(counts: np.ndarray, seed: int = 3) -> np.ndarray:
     return np.concatenate([p.ravel() for p in parts.values()]).astype(np.float32)
 
 
-MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
+MASK = np.tri(WINDOW, dtype=np.float32)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -163,56 +237,88 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=-1, keepdims=True)
 
 
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Sums over the last axis: a product with ones is faster than `sum` where the axis is short."""
+    return x @ np.ones((x.shape[-1], 1), x.dtype)
+
+
+def _normed(x: np.ndarray) -> np.ndarray:
+    """exp(x) with sum 1 over the last axis, in place; no exponent is beyond +-60, so none overflows."""
+    np.clip(x, -60, 60, out=x)
+    np.exp(x, out=x)
+    x /= _sums(x)
+    return x
+
+
 def forward(p: dict, x: np.ndarray) -> tuple:
     """Embeddings, queries, keys, values, attention, mixed state and expert weights of windows of ids."""
-    e = p["embed"][x] + p["place"]
+    e = np.take(p["embed"], x, axis=0)
+    e += p["place"]
     q, k, v = e @ (p["query"] / np.float32(WIDTH**0.5)), e @ p["key"], e @ p["value"]
     a = q @ k.transpose(0, 2, 1)
     np.clip(a, -60, 60, out=a)
-    a += MASK
     np.exp(a, out=a)
-    a /= a.sum(axis=2, keepdims=True)
-    r = a @ v + e
-    return e, q, k, v, a, r, _softmax(r @ p["mix"] + p["bias"])
+    a *= MASK
+    a /= _sums(a)
+    r = a @ v
+    r += e
+    z = r @ p["mix"]
+    z += p["bias"]
+    return e, q, k, v, a, r, _normed(z)
 
 
 def gradients(p: dict, experts: np.ndarray, rows: np.ndarray) -> dict[str, np.ndarray]:
     """Mean gradient of the log loss over the ids that are there; `experts`: each expert's share of each id."""
-    x, y = rows[:, :-1], rows[:, 1:]
-    there = y >= 0
-    x, y = np.maximum(x, 0), np.maximum(y, 0)
-    e, q, k, v, a, r, g = forward(p, x)
-    n = np.float32(max(1, there.sum()))
-    joint = g * experts[y]
-    rho = joint / np.maximum(joint.sum(axis=2, keepdims=True), 1e-30)
-    rho *= there[:, :, None]
-    dz = (g * there[:, :, None] - rho) / n
-    dr = dz @ p["mix"].T
-    da = dr @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    scale = np.float32(WIDTH**-0.5)
-    dq, dk, dv = ds @ k * scale, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dr
-    de = dr + dq @ p["query"].T + dk @ p["key"].T + dv @ p["value"].T
-    flat_e, n_ids = e.reshape(-1, WIDTH), len(experts)
+    x, y = np.maximum(rows[:, :-1], 0), np.maximum(rows[:, 1:], 0)
+    there = rows[:, 1:] >= 0
+    kind = p["embed"].dtype
+    weight = (there / max(1, there.sum())).astype(kind)[:, :, None]
+    scale, n_ids = np.float32(WIDTH**-0.5), len(experts)
+    # What goes to the rows of ids is gathered over all parts of the step.
+    by_x, by_y = np.empty((*x.shape, WIDTH), kind), np.empty((*y.shape, EXPERTS), kind)
+    sums = {n: np.zeros(s, kind) for n, s in shapes(n_ids).items() if n not in ("embed", "experts")}
+    for i in range(0, len(rows), BATCH):
+        part = slice(i, i + BATCH)
+        w = weight[part]
+        e, q, k, v, a, r, g = forward(p, x[part])
+        rho = np.take(experts, y[part], axis=0, out=by_y[part], mode="clip")
+        rho *= g
+        rho *= w / np.maximum(_sums(rho), 1e-30)
+        dz = g * w
+        dz -= rho
+        flat_dz = dz.reshape(-1, EXPERTS)
+        dr = (flat_dz @ p["mix"].T).reshape(e.shape)
+        ds = dr @ v.transpose(0, 2, 1)
+        ds *= a
+        ds -= a * _sums(ds)
+        dq, dk, dv = (d.reshape(-1, WIDTH) for d in (ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dr))
+        dq *= scale
+        de = dq @ p["query"].T
+        de += dk @ p["key"].T
+        de += dv @ p["value"].T
+        de += dr.reshape(-1, WIDTH)
+        by_x[part] = de.reshape(e.shape)
+        flat_e = e.reshape(-1, WIDTH)
+        sums["query"] += flat_e.T @ dq
+        sums["key"] += flat_e.T @ dk
+        sums["value"] += flat_e.T @ dv
+        sums["mix"] += r.reshape(-1, WIDTH).T @ flat_dz
+        sums["bias"] += np.ones(len(flat_dz), kind) @ flat_dz
 
     def spread(at: np.ndarray, what: np.ndarray) -> np.ndarray:
         width = what.shape[-1]
         index = (at.reshape(-1, 1) * width + np.arange(width)).ravel()
         return np.bincount(index, what.ravel(), n_ids * width).reshape(n_ids, width)
 
-    total = rho.reshape(-1, EXPERTS)
-    return {
-        "embed": spread(x, de), "place": de.sum(axis=0), "query": flat_e.T @ dq.reshape(-1, WIDTH),
-        "key": flat_e.T @ dk.reshape(-1, WIDTH), "value": flat_e.T @ dv.reshape(-1, WIDTH),
-        "mix": r.reshape(-1, WIDTH).T @ dz.reshape(-1, EXPERTS), "bias": dz.sum(axis=(0, 1)),
-        "experts": (experts * total.sum(axis=0) - spread(y, rho)) / n,
-    }
+    total = np.ones(y.size, kind) @ by_y.reshape(-1, EXPERTS)
+    return sums | {"place": by_x.sum(axis=0), "embed": spread(x, by_x), "experts": experts * total - spread(y, by_y)}
 
 
 def train(vector: np.ndarray, pools: Iterable[np.ndarray], n_ids: int, seed: int) -> np.ndarray:
     """The weights after a pass over pools of windows of ids, and `STEPS` steps at least, by Adam."""
     vector = vector.copy()
-    mean, square = np.zeros_like(vector), np.zeros_like(vector)
+    p = unpack(vector, n_ids)  # views
+    mean, square, g, move = (np.zeros_like(vector) for _ in range(4))
     rng = np.random.default_rng(seed)
     step = 0
     for rows in pools:
@@ -221,12 +327,23 @@ def train(vector: np.ndarray, pools: Iterable[np.ndarray], n_ids: int, seed: int
         order = np.concatenate([rng.permutation(len(rows)) for _ in range(max(1, times))])
         for at in range(0, len(order), STEP):
             step += 1
-            p = unpack(vector, n_ids)
-            grads = gradients(p, _softmax(p["experts"].T).T, rows[order[at : at + STEP]])
-            g = np.concatenate([grads[name].ravel() for name in shapes(n_ids)]).astype(np.float32)
-            mean += 0.1 * (g - mean)
-            square += 0.01 * (g * g - square)
-            vector -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + np.float32(1e-6))
+            experts = np.exp(p["experts"] - p["experts"].max(axis=0))
+            experts /= experts.sum(axis=0)
+            grads = gradients(p, experts, rows[order[at : at + STEP]])
+            np.concatenate([grads[name].ravel() for name in shapes(n_ids)], out=g, casting="same_kind")
+            np.subtract(g, mean, out=move)
+            move *= np.float32(0.1)
+            mean += move
+            np.multiply(g, g, out=move)
+            move -= square
+            move *= np.float32(0.01)
+            square += move
+            np.sqrt(square, out=move)
+            move *= np.float32((1 - 0.99**step) ** -0.5)
+            move += np.float32(1e-6)
+            np.divide(mean, move, out=move)
+            move *= np.float32(RATE / (1 - 0.9**step))
+            vector -= move
             np.clip(vector, -30, 30, out=vector)
     return vector
 
@@ -334,22 +451,22 @@ class Scorer:
         inputs[starts] = BEGIN
         more = np.maximum(0, -(-(sizes - WINDOW) // STRIDE))
         base = np.repeat(starts, more + 1) + flat.ranges(np.zeros_like(more), more + 1) * STRIDE
-        stop = np.repeat(starts + sizes, more + 1)
-        at = base[:, None] + np.arange(WINDOW)
-        new = (at < stop[:, None]) & ((np.arange(WINDOW) >= WINDOW - STRIDE) | (base == np.repeat(starts, more + 1))[:, None])
-        at = np.minimum(at, len(ids) - 1)
+        stop, first = np.repeat(starts + sizes, more + 1), base == np.repeat(starts, more + 1)
+        targets, inputs = self.compact[ids], self.compact[inputs]
         logs, opens = np.empty(len(ids), np.float32), np.empty(len(ids), np.float32)
-        for i in range(0, len(at), BATCH):
-            part, fresh = at[i : i + BATCH], new[i : i + BATCH]
-            g = forward(self.p, self.compact[inputs[part]])[6][fresh]
-            place = part[fresh]
-            logs[place] = np.log(np.einsum("ij,ij->i", g, self.experts[self.compact[ids[place]]]) + 1e-30)
-            opens[place] = np.log(g @ self.opening + 1e-30)
+        for i in range(0, len(base), BATCH):
+            at = base[i : i + BATCH, None] + np.arange(WINDOW)
+            new = (at < stop[i : i + BATCH, None]) & ((np.arange(WINDOW) >= WINDOW - STRIDE) | first[i : i + BATCH, None])
+            np.minimum(at, len(ids) - 1, out=at)
+            g = forward(self.p, inputs[at])[6]
+            place = at[new]
+            opens[place] = np.log(g @ self.opening + 1e-30)[new]
+            g *= np.take(self.experts, targets[at], axis=0)
+            logs[place] = np.log(_sums(g)[:, :, 0] + 1e-30)[new]
         return logs, opens
 
-    def words_logs(self, texts: list[bytes], n_words: np.ndarray) -> np.ndarray:
-        """log P of every word and of the end of every text, in turn."""
-        ids, sizes = self.tool.encode(texts)
+    def words_logs(self, ids: np.ndarray, sizes: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+        """log P of every word and of the end of every text, in turn, from the ids of the texts."""
         ends = np.cumsum(sizes)
         ids = np.insert(ids, ends, END)
         sizes = sizes + 1
@@ -382,15 +499,15 @@ def _score(shared, model: str, n_train: int, totals: tuple[int, int]):
         scorer = _scorer(shared, model)
         n, v = totals
         order = np.argsort(told["owner"].to_numpy(), kind="stable")
-        cells = told["counts"].to_pylist()
-        counts = np.frombuffer(b"".join([cells[i] for i in order]), np.int64)
+        parts = told["counts"].to_pylist()
+        counts = np.concatenate([large(parts[i]) for i in order] + [np.zeros(0, np.int64)])
         out: dict[str, list] = {c: [] for c in ("id", "held_out", "n_tokens", "n_known", "base_score", "score")}
-        for ids, sizes, blob in zip(*(rows[c].to_pylist() for c in ("ids", "sizes", "blob")), strict=True):
-            w = Words(sizes, blob)
-            n_words = np.diff(w.first)
-            c = np.insert(counts[w.back], w.first[1:], n_train)  # the end of each text is a token
+        for ids, *cells in zip(*(rows[c].to_pylist() for c in CODED), strict=True):
+            coded = Coded(*cells)
+            n_words = coded.n_words.astype(np.int64)
+            c = np.insert(counts[coded.back], np.cumsum(n_words), n_train)  # the end of each text is a token
             base = np.log((c + 1) / (n + v + 1))
-            logs = scorer.words_logs([w.spoken(i) for i in range(len(ids))], n_words)
+            logs = scorer.words_logs(*coded.flow(np.ones(len(ids), bool)), n_words)
             mixed = np.logaddexp(np.log(SHARE) + logs, np.log(1 - SHARE) + base)
             first = np.cumsum(n_words + 1) - n_words - 1
             sums = lambda x: np.add.reduceat(x, first).tolist() if len(first) else []  # noqa: E731, B023
@@ -414,9 +531,11 @@ def lm_score(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[id_col]
-    blocks = packing.packed(docs, id_col, text_col)
+    source = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
+    cells = ", ".join(f"{c} binary" for c in (*CODED[1:], "counts", "hashes"))
+    blocks = written(source.mapInArrow(_code(model), f"block long, ids array<{kind}>, {cells}"), "coded")
     n_owners = max(1, blocks.count() // 8)
-    told = blocks.mapInArrow(_tell(n_owners), "block long, owner long, hashes binary, counts binary")
+    told = blocks.select("block", "hashes", "counts").mapInArrow(_tell(n_owners), "block long, owner long, hashes binary, counts binary")
     counts = written(
         told.groupBy("owner").applyInArrow(_sum, "block long, owner long, counts binary, tokens long, distinct long"), "counts"
     )
@@ -425,9 +544,9 @@ def lm_score(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str
     n_train = ids.where(F.coalesce(key != HELD_OUT, F.lit(True))).count()
     sums = counts.agg(F.sum("tokens"), F.sum("distinct")).first()
     totals = (sums[0] or 0) + n_train, (sums[1] or 0) + (n_train > 0)
-    windows = written(blocks.mapInArrow(_windows(model), "n long, windows binary"), "windows")
+    windows = written(blocks.select(*CODED).mapInArrow(_windows, "n long, windows binary"), "windows")
     shared = spark.sparkContext.broadcast(trained(windows, load(model).n))
-    rows = blocks.groupBy("block").cogroup(counts.select("block", "owner", "counts").groupBy("block")).applyInArrow(
+    rows = blocks.select("block", *CODED).groupBy("block").cogroup(counts.select("block", "owner", "counts").groupBy("block")).applyInArrow(
         _score(shared, model, n_train, totals),
         f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double",
     )

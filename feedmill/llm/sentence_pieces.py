@@ -206,15 +206,20 @@ class Pieces:
         ends = np.append(starts[1:], len(buf))
         stay = ~np.isin(starts, ends_text, assume_unique=True)
         starts, ends = starts[stay], ends[stay]
+        ids, size = self.encode_spans(buf, starts, ends)
+        total = np.concatenate([[0], np.cumsum(size)])
+        return ids, np.diff(total[np.searchsorted(starts, edges)])
+
+    def encode_spans(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of spans of bytes that no piece reaches across, and how many each has."""
+
         def fresh(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             n = ends - starts
             raw = buf[ranges(starts, n)]
             owner = np.repeat(np.arange(len(n)), n)[(raw & 0xC0) != 0x80]
             return self.encode_parts(raw.tobytes().decode().replace(" ", SPACE), owner, len(n))
 
-        ids, size = self.parts.ids(buf, starts, ends, fresh)
-        total = np.concatenate([[0], np.cumsum(size)])
-        return ids, np.diff(total[np.searchsorted(starts, edges)])
+        return self.parts.ids(buf, starts, ends, fresh)
 
     def decimals(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """The ids of each text as decimals with commas between them."""

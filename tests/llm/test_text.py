@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 
 from feedmill.llm import flat, html_text, lm_score, quality_classifier, sentence_pieces
 from feedmill.llm.parts import Remembered
@@ -223,6 +224,35 @@ def test_gradients_are_those_of_differences():
         assert found[i] == pytest.approx((loss(vector + step) - loss(vector - step)) / 2e-5, abs=1e-4)
 
 
+def test_a_text_is_encoded_once(spark, model, monkeypatch):
+    """What is learnt and what is scored are the ids of one encoding, made of those of the distinct words."""
+    texts = [*ODD, "a \u2581b c\u2581 \u2581", prose(random.Random(3), 500, 50), *some_texts(4, 20)]
+    tool, sizes = sentence_pieces.Pieces(model), [len(t.encode()) for t in texts if t]
+    blob = zstandard.compress("".join(t or "" for t in texts).encode())
+    w = lm_score.Words(np.array([len((t or "").encode()) for t in texts], np.int64).tobytes(), blob)
+    assert len(w.values) < len(w.back) and sum(sizes) == len(w.buf) - len(texts)
+    pieces, k = tool.encode_spans(*w.spoken())
+    coded = lm_score.Coded(*(lm_score.small(x) for x in (np.diff(w.first), w.back, k, pieces)))
+    assert (lm_score.risen(lm_score.steps(w.values)) == w.values).all() and not len(lm_score.risen(lm_score.steps(w.values[:0])))
+    spoken = [" ".join(words(lower(t))).replace(sentence_pieces.SPACE, "_").encode() for t in texts]
+    for docs in (np.ones(len(texts), bool), np.arange(len(texts)) % 3 > 0, np.zeros(len(texts), bool)):
+        ids, n = tool.encode([t for t, there in zip(spoken, docs, strict=True) if there])
+        found, many = coded.flow(docs)
+        assert found.tolist() == ids.tolist() and many.tolist() == n.tolist()
+
+
+def test_steps_in_parts_have_the_same_gradients(monkeypatch):
+    rng = np.random.default_rng(2)
+    vector = lm_score.initial(rng.integers(1, 9, 15)).astype(np.float64)
+    rows = rng.integers(0, 15, (7, lm_score.WINDOW + 1)).astype(np.int32)
+    rows[3, 5:] = rows[6, 2:] = -1
+    p = lm_score.unpack(vector, 15)
+    whole = lm_score.gradients(p, lm_score._softmax(p["experts"].T).T, rows)
+    monkeypatch.setattr(lm_score, "BATCH", 3)
+    parts = lm_score.gradients(p, lm_score._softmax(p["experts"].T).T, rows)
+    assert all(np.allclose(whole[n], parts[n], atol=1e-12) for n in lm_score.shapes(15))
+
+
 def test_attention_looks_back_only():
     p = lm_score.unpack(lm_score.initial(np.ones(9)), 9)
     x = np.random.default_rng(1).integers(0, 9, (1, lm_score.WINDOW))
