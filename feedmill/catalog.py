@@ -755,7 +755,9 @@ def _in_files(df: DataFrame, order_col: str, n: int, folder: str) -> int:
     for low, high in zip([None, *cuts], [*cuts, None]):
         part = df if low is None else df.where(F.col(order_col) > low)
         part = part if high is None else part.where(F.col(order_col) <= high)
-        spread = part.repartition(pieces) if pieces > 1 else part.coalesce(1)
+        # Dealt by number: a plain repartition would sort every wide row first.
+        piece = F.pmod(F.monotonically_increasing_id(), F.lit(pieces)).cast("int")
+        spread = part.repartitionById(pieces, piece) if pieces > 1 else part.coalesce(1)
         spread.write.mode("append").parquet(folder)
     return pieces
 

@@ -207,6 +207,20 @@ def test_input_of_a_stream_is_written_in_pieces_side_by_side(spark, tmp_path, mo
     assert upto == 999
 
 
+def test_pieces_are_dealt_evenly_and_not_sorted(spark, tmp_path, monkeypatch):
+    """A repartition without a key sorts rows by their hash first; equal and missing numbers leave no piece empty."""
+    monkeypatch.setattr(catalog, "FILE_ROWS", 30)
+    df = spark.range(0, 1000, 1, 3).selectExpr("if(id < 900, id div 300, null) as seq", "id")
+    df = df.withColumn("seq", F.coalesce("seq", F.lit(3).cast("long")))
+    pieces = catalog._in_files(df, "seq", 2, str(tmp_path / "ops"))
+    files = list((tmp_path / "ops").glob("*.parquet"))
+    assert pieces == 17 and len(files) == 2 * pieces
+    ids = [[r.id for r in spark.read.parquet(str(f)).collect()] for f in files]
+    assert sorted(sum(ids, [])) == list(range(1000))
+    assert max(sum(a > b for a, b in zip(x, x[1:])) for x in ids) < 3  # runs of three partitions
+    assert max(map(len, ids)) < 2 * 1000 / len(ids)
+
+
 @pytest.mark.parametrize("name", ["feed_stream_batches", "feed_stream_bounded"])
 def test_pieces_of_a_file_come_in_one_batch(spark, sf_dir, tmp_path, monkeypatch, name):
     monkeypatch.setattr(catalog, "FILE_ROWS", 60)
