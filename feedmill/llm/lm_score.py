@@ -89,23 +89,26 @@ def _held_out(ids: list) -> np.ndarray:
     return np.array([i is not None and crc32(str(i).encode()) % FOLDS == HELD_OUT for i in ids], bool)
 
 
+_squeeze, _unsqueeze = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
+
+
 def small(x: np.ndarray) -> bytes:
     """Numbers of 0 or more in the fewest bytes that hold the largest, compressed."""
     x = x.astype(np.min_scalar_type(int(x.max(initial=0))))
-    return bytes([x.itemsize]) + zstandard.compress(x.tobytes(), 1)
+    return bytes([x.itemsize]) + _squeeze(x.tobytes())
 
 
 def large(cell: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(cell[1:]), f"u{cell[0]}")
+    return np.frombuffer(_unsqueeze(cell[1:]), f"u{cell[0]}")
 
 
 def steps(values: np.ndarray) -> bytes:
     """Rising hashes as their differences, byte by byte, compressed."""
-    return zstandard.compress(np.diff(values, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+    return _squeeze(np.diff(values, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
 def risen(cell: bytes) -> np.ndarray:
-    octets = np.frombuffer(zstandard.decompress(cell), np.uint8).reshape(8, -1)
+    octets = np.frombuffer(_unsqueeze(cell), np.uint8).reshape(8, -1)
     return np.cumsum(octets.T.copy().view(np.uint64).ravel(), dtype=np.uint64)
 
 
@@ -189,7 +192,7 @@ def _sum(table: pa.Table) -> pa.Table:
 
 
 def _windows(batches):
-    """All windows of ids of every training text. Each id, and the end, is a target once."""
+    """All windows of ids of every training text, and which ids are in them how often. Each id, and the end, is a target once."""
     for batch in batches:
         for ids, *coded in zip(*(batch[c].to_pylist() for c in CODED), strict=True):
             found, k = Coded(*coded).flow(~_held_out(ids))
@@ -201,7 +204,10 @@ def _windows(batches):
             base = np.repeat(starts, n) + flat.ranges(np.zeros_like(n), n) * WINDOW
             at = base[:, None] + np.arange(WINDOW + 1)
             rows = np.where(at < np.repeat(stops, n)[:, None], flow[np.minimum(at, len(flow) - 1)], -1).astype(np.int32) if len(k) else at
-            yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64()), pa.array([rows.tobytes()], pa.binary())], ["n", "windows"])
+            times = np.bincount(np.append(found, np.repeat(END, len(k))))
+            seen = np.flatnonzero(times)
+            cells = {"windows": rows.tobytes(), "seen": small(seen), "times": small(times[seen])}
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(rows)], pa.int64()), **{c: pa.array([x], pa.binary()) for c, x in cells.items()}})
 
 
 def shapes(n_ids: int) -> dict[str, tuple[int, ...]]:
@@ -230,6 +236,7 @@ def initial(counts: np.ndarray, seed: int = 3) -> np.ndarray:
 
 
 MASK = np.tri(WINDOW, dtype=np.float32)
+ONES = np.ones((max(WINDOW, WIDTH, EXPERTS), 1), np.float32)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -239,32 +246,50 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 def _sums(x: np.ndarray) -> np.ndarray:
     """Sums over the last axis: a product with ones is faster than `sum` where the axis is short."""
-    return x @ np.ones((x.shape[-1], 1), x.dtype)
+    return x @ ONES[: x.shape[-1]]
+
+
+def _bounded(x: np.ndarray) -> np.ndarray:
+    """exp(x) in place; no exponent is beyond +-60, so none overflows."""
+    if max(x.max(initial=0), -x.min(initial=0)) > 60:
+        np.clip(x, -60, 60, out=x)
+    return np.exp(x, out=x)
+
 
+def _joint(p: dict) -> dict:
+    """The weights with what attention needs of its matrices: queries by keys, values by the mix, the bias of a window's places."""
+    if "across" in p:
+        return p
+    across = p["query"] @ p["key"].T * np.float32(WIDTH**-0.5)
+    return p | {"across": across, "through": p["value"] @ p["mix"], "biases": np.tile(p["bias"], WINDOW)}
 
-def _normed(x: np.ndarray) -> np.ndarray:
-    """exp(x) with sum 1 over the last axis, in place; no exponent is beyond +-60, so none overflows."""
-    np.clip(x, -60, 60, out=x)
-    np.exp(x, out=x)
-    x /= _sums(x)
-    return x
 
+def forward(p: dict, x: np.ndarray, skip: int = 0, shares: bool = True) -> tuple:
+    """Of windows of ids: embeddings, also turned, then, from place `skip` on, queries, attention, its sums, what it reads and expert weights.
 
-def forward(p: dict, x: np.ndarray) -> tuple:
-    """Embeddings, queries, keys, values, attention, mixed state and expert weights of windows of ids."""
+    Queries meet embeddings: keys are part of the queries' matrix, values of the mix's. Attention is
+    divided by its sums where it was read, so that all places of a window need not be. Without
+    `shares`, the expert weights of a place are not divided by their sum.
+    """
+    p = _joint(p)
     e = np.take(p["embed"], x, axis=0)
     e += p["place"]
-    q, k, v = e @ (p["query"] / np.float32(WIDTH**0.5)), e @ p["key"], e @ p["value"]
-    a = q @ k.transpose(0, 2, 1)
-    np.clip(a, -60, 60, out=a)
-    np.exp(a, out=a)
-    a *= MASK
-    a /= _sums(a)
-    r = a @ v
-    r += e
-    z = r @ p["mix"]
-    z += p["bias"]
-    return e, q, k, v, a, r, _normed(z)
+    turned = np.ascontiguousarray(e.transpose(0, 2, 1))
+    own = e[:, skip:].reshape(-1, WIDTH)
+    q = (own @ p["across"]).reshape(len(x), -1, WIDTH)
+    a = _bounded(q @ turned)
+    a *= MASK[skip:]
+    total = _sums(a)
+    u = a @ e
+    u /= total
+    z = u.reshape(-1, WIDTH) @ p["through"]
+    z += own @ p["mix"]
+    z = z.reshape(len(x), -1)
+    z += p["biases"][skip * EXPERTS :]
+    g = _bounded(z).reshape(len(x), -1, EXPERTS)
+    if shares:
+        g /= _sums(g)
+    return e, turned, q, a, total, u, g
 
 
 def gradients(p: dict, experts: np.ndarray, rows: np.ndarray) -> dict[str, np.ndarray]:
@@ -273,45 +298,51 @@ def gradients(p: dict, experts: np.ndarray, rows: np.ndarray) -> dict[str, np.nd
     there = rows[:, 1:] >= 0
     kind = p["embed"].dtype
     weight = (there / max(1, there.sum())).astype(kind)[:, :, None]
-    scale, n_ids = np.float32(WIDTH**-0.5), len(experts)
+    n_ids, p = len(experts), _joint(p)
     # What goes to the rows of ids is gathered over all parts of the step.
     by_x, by_y = np.empty((*x.shape, WIDTH), kind), np.empty((*y.shape, EXPERTS), kind)
-    sums = {n: np.zeros(s, kind) for n, s in shapes(n_ids).items() if n not in ("embed", "experts")}
+    d_across, d_through, d_mix, d_bias = (np.zeros(n, kind) for n in ((WIDTH, WIDTH), (WIDTH, EXPERTS), (WIDTH, EXPERTS), EXPERTS))
     for i in range(0, len(rows), BATCH):
         part = slice(i, i + BATCH)
         w = weight[part]
-        e, q, k, v, a, r, g = forward(p, x[part])
+        e, turned, q, a, total, u, g = forward(p, x[part])
         rho = np.take(experts, y[part], axis=0, out=by_y[part], mode="clip")
         rho *= g
         rho *= w / np.maximum(_sums(rho), 1e-30)
-        dz = g * w
-        dz -= rho
-        flat_dz = dz.reshape(-1, EXPERTS)
-        dr = (flat_dz @ p["mix"].T).reshape(e.shape)
-        ds = dr @ v.transpose(0, 2, 1)
+        g *= w
+        g -= rho
+        dz = g.reshape(-1, EXPERTS)
+        du = (dz @ p["through"].T).reshape(e.shape)
+        du /= total
+        ds = du @ turned
+        ds -= _sums(du * u)
         ds *= a
-        ds -= a * _sums(ds)
-        dq, dk, dv = (d.reshape(-1, WIDTH) for d in (ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dr))
-        dq *= scale
-        de = dq @ p["query"].T
-        de += dk @ p["key"].T
-        de += dv @ p["value"].T
-        de += dr.reshape(-1, WIDTH)
-        by_x[part] = de.reshape(e.shape)
-        flat_e = e.reshape(-1, WIDTH)
-        sums["query"] += flat_e.T @ dq
-        sums["key"] += flat_e.T @ dk
-        sums["value"] += flat_e.T @ dv
-        sums["mix"] += r.reshape(-1, WIDTH).T @ flat_dz
-        sums["bias"] += np.ones(len(flat_dz), kind) @ flat_dz
-
-    def spread(at: np.ndarray, what: np.ndarray) -> np.ndarray:
-        width = what.shape[-1]
-        index = (at.reshape(-1, 1) * width + np.arange(width)).ravel()
-        return np.bincount(index, what.ravel(), n_ids * width).reshape(n_ids, width)
-
-    total = np.ones(y.size, kind) @ by_y.reshape(-1, EXPERTS)
-    return sums | {"place": by_x.sum(axis=0), "embed": spread(x, by_x), "experts": experts * total - spread(y, by_y)}
+        dq = (ds @ e).reshape(-1, WIDTH)
+        de = by_x[part]
+        np.matmul(ds.transpose(0, 2, 1), q, out=de)
+        de += a.transpose(0, 2, 1) @ du
+        de = de.reshape(-1, WIDTH)
+        de += dq @ p["across"].T
+        de += dz @ p["mix"].T
+        e, u = e.reshape(-1, WIDTH), u.reshape(-1, WIDTH)
+        d_across += e.T @ dq
+        d_through += u.T @ dz
+        d_mix += e.T @ dz
+        d_bias += np.ones(len(dz), kind) @ dz
+    d_across *= np.float32(WIDTH**-0.5)
+    sums = {
+        "query": d_across @ p["key"], "key": d_across.T @ p["query"], "value": d_through @ p["mix"].T,
+        "mix": p["value"].T @ d_through + d_mix, "bias": d_bias,
+    }
+
+    # A row of ids takes its numbers two by two, as parts of a complex one: half as many places.
+    pair = np.result_type(kind, np.complex64)
+    places = np.arange(n_ids * WIDTH // 2).reshape(n_ids, -1), np.arange(n_ids * EXPERTS // 2).reshape(n_ids, -1)
+    sums["place"], sums["embed"] = by_x.sum(axis=0), np.zeros((n_ids, WIDTH), kind)
+    sums["experts"] = experts * (np.ones(y.size, kind) @ by_y.reshape(-1, EXPERTS))
+    np.add.at(sums["embed"].reshape(-1).view(pair), np.take(places[0], x, axis=0).ravel(), by_x.reshape(-1).view(pair))
+    np.subtract.at(sums["experts"].reshape(-1).view(pair), np.take(places[1], y, axis=0).ravel(), by_y.reshape(-1).view(pair))
+    return sums
 
 
 def train(vector: np.ndarray, pools: Iterable[np.ndarray], n_ids: int, seed: int) -> np.ndarray:
@@ -327,24 +358,24 @@ def train(vector: np.ndarray, pools: Iterable[np.ndarray], n_ids: int, seed: int
         order = np.concatenate([rng.permutation(len(rows)) for _ in range(max(1, times))])
         for at in range(0, len(order), STEP):
             step += 1
-            experts = np.exp(p["experts"] - p["experts"].max(axis=0))
-            experts /= experts.sum(axis=0)
+            experts = np.exp(p["experts"])  # of 30 at most
+            experts /= np.ones(n_ids, np.float32) @ experts
             grads = gradients(p, experts, rows[order[at : at + STEP]])
             np.concatenate([grads[name].ravel() for name in shapes(n_ids)], out=g, casting="same_kind")
-            np.subtract(g, mean, out=move)
-            move *= np.float32(0.1)
-            mean += move
-            np.multiply(g, g, out=move)
-            move -= square
-            move *= np.float32(0.01)
-            square += move
+            # Adam's means, ten and a hundred times as large.
+            mean *= np.float32(0.9)
+            mean += g
+            g *= g
+            square *= np.float32(0.99)
+            square += g
+            scale = np.float32((0.01 / (1 - 0.99**step)) ** 0.5)
             np.sqrt(square, out=move)
-            move *= np.float32((1 - 0.99**step) ** -0.5)
-            move += np.float32(1e-6)
+            move += np.float32(1e-6) / scale
             np.divide(mean, move, out=move)
-            move *= np.float32(RATE / (1 - 0.9**step))
+            move *= np.float32(0.1 * RATE / (1 - 0.9**step)) / scale
             vector -= move
-            np.clip(vector, -30, 30, out=vector)
+            if max(vector.max(), -vector.min()) > 30:
+                np.clip(vector, -30, 30, out=vector)
     return vector
 
 
@@ -408,14 +439,13 @@ def trained(windows: DataFrame, n_ids: int) -> tuple[np.ndarray, np.ndarray]:
     def ids_counted(batches):
         total = np.zeros(n_ids, np.int64)
         for batch in batches:
-            for x in batch["windows"].to_pylist():
-                found = np.frombuffer(x, np.int32).reshape(-1, WINDOW + 1)[:, 1:]  # targets: each id once
-                total += np.bincount(found[found >= 0], minlength=n_ids)
+            for seen, times in zip(batch["seen"].to_pylist(), batch["times"].to_pylist(), strict=True):
+                total[large(seen)] += large(times)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], ["i", "n"])
 
     known = np.zeros(n_ids)
-    for r in windows.mapInArrow(ids_counted, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
+    for r in windows.select("seen", "times").mapInArrow(ids_counted, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
         known[r["i"]] = r["n"]  # a row per id of the vocabulary at most
     known[[BEGIN, END]] += 1
     compact = np.zeros(n_ids, np.int64)
@@ -423,7 +453,7 @@ def trained(windows: DataFrame, n_ids: int) -> tuple[np.ndarray, np.ndarray]:
     vector = initial(np.concatenate([[1.0], known[known > 0]]))
     for i in range(ROUNDS):
         shared = spark.sparkContext.broadcast((vector, compact))
-        sums = windows.mapInArrow(_round(shared, i), "chunk long, weight double, part binary")
+        sums = windows.select("windows").mapInArrow(_round(shared, i), "chunk long, weight double, part binary")
         parts = sums.groupBy("chunk").applyInArrow(_average, "chunk long, part binary").collect()
         if parts:
             vector = np.concatenate([np.frombuffer(r["part"], np.float32) for r in sorted(parts, key=lambda r: r["chunk"])])
@@ -434,7 +464,7 @@ class Scorer:
     def __init__(self, vector: np.ndarray, compact: np.ndarray, model: str):
         self.tool = load(model)
         self.compact = compact
-        self.p = unpack(vector, int(compact.max()) + 1)
+        self.p = _joint(unpack(vector, int(compact.max()) + 1))
         self.experts = _softmax(self.p["experts"].T).T.astype(np.float32)
         first = self.tool.names[np.minimum(self.tool.name_start, len(self.tool.names) - 1)]
         self.opens = (first == 32) & (self.tool.name_size > 0)  # ids that begin a word
@@ -442,27 +472,34 @@ class Scorer:
         self.opens[[BEGIN, *self.tool.byte_ids]] = False
         # Ids without a number have equal parts of what is left for them.
         self.experts[0] /= max(1, (compact == 0).sum())
-        self.opening = self.experts[compact[self.opens]].sum(axis=0)
+        # By these the sum of expert weights, and that of what begins a word.
+        opening = self.experts[compact[self.opens]].sum(axis=0)
+        self.sums = np.stack([np.ones_like(opening), opening], axis=1)
 
     def ids_logs(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log P of each id and of a word's begin in its place, for texts of ids that end with END."""
+        """log P of each id and of a word's begin in its place, for texts of ids that end with END.
+
+        A text's later windows are asked for their last `STRIDE` places only: the others are what those look back on.
+        """
         starts = np.cumsum(sizes) - sizes
         inputs = np.concatenate([[BEGIN], ids[:-1]])
         inputs[starts] = BEGIN
         more = np.maximum(0, -(-(sizes - WINDOW) // STRIDE))
-        base = np.repeat(starts, more + 1) + flat.ranges(np.zeros_like(more), more + 1) * STRIDE
-        stop, first = np.repeat(starts + sizes, more + 1), base == np.repeat(starts, more + 1)
+        later = np.repeat(starts, more) + (flat.ranges(np.zeros_like(more), more) + 1) * STRIDE
         targets, inputs = self.compact[ids], self.compact[inputs]
         logs, opens = np.empty(len(ids), np.float32), np.empty(len(ids), np.float32)
-        for i in range(0, len(base), BATCH):
-            at = base[i : i + BATCH, None] + np.arange(WINDOW)
-            new = (at < stop[i : i + BATCH, None]) & ((np.arange(WINDOW) >= WINDOW - STRIDE) | first[i : i + BATCH, None])
-            np.minimum(at, len(ids) - 1, out=at)
-            g = forward(self.p, inputs[at])[6]
-            place = at[new]
-            opens[place] = np.log(g @ self.opening + 1e-30)[new]
-            g *= np.take(self.experts, targets[at], axis=0)
-            logs[place] = np.log(_sums(g)[:, :, 0] + 1e-30)[new]
+        for base, stops, skip in ((starts, starts + sizes, 0), (later, np.repeat(starts + sizes, more), WINDOW - STRIDE)):
+            for i in range(0, len(base), BATCH):
+                at = base[i : i + BATCH, None] + np.arange(WINDOW)
+                there = at[:, skip:] < stops[i : i + BATCH, None]
+                np.minimum(at, len(ids) - 1, out=at)
+                g = forward(self.p, np.take(inputs, at), skip, shares=False)[6]
+                at = at[:, skip:]
+                place = at[there]
+                total, open_ = (g @ self.sums).transpose(2, 0, 1)
+                opens[place] = np.log(open_ / total + 1e-30)[there]
+                g *= np.take(self.experts, np.take(targets, at), axis=0)
+                logs[place] = np.log(_sums(g)[:, :, 0] / total + 1e-30)[there]
         return logs, opens
 
     def words_logs(self, ids: np.ndarray, sizes: np.ndarray, n_words: np.ndarray) -> np.ndarray:
@@ -544,7 +581,7 @@ def lm_score(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str
     n_train = ids.where(F.coalesce(key != HELD_OUT, F.lit(True))).count()
     sums = counts.agg(F.sum("tokens"), F.sum("distinct")).first()
     totals = (sums[0] or 0) + n_train, (sums[1] or 0) + (n_train > 0)
-    windows = written(blocks.select(*CODED).mapInArrow(_windows, "n long, windows binary"), "windows")
+    windows = written(blocks.select(*CODED).mapInArrow(_windows, "n long, windows binary, seen binary, times binary"), "windows")
     shared = spark.sparkContext.broadcast(trained(windows, load(model).n))
     rows = blocks.select("block", *CODED).groupBy("block").cogroup(counts.select("block", "owner", "counts").groupBy("block")).applyInArrow(
         _score(shared, model, n_train, totals),

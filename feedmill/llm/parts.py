@@ -50,7 +50,7 @@ class Remembered:
         if new.any():
             ids, sizes = encode(starts[first[new]], ends[first[new]])
             known = np.concatenate([self._hash, hashes[new]])
-            order = np.argsort(known)
+            order = np.argsort(known, kind="stable")  # two sorted runs: they are merged
             self._hash = known[order]
             self._check = np.concatenate([self._check, check[new]])[order]
             self._at = np.concatenate([self._at, len(self._flat) + np.cumsum(sizes) - sizes])[order]

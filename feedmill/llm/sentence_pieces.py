@@ -30,7 +30,7 @@ SPACE = "▁"
 REMEMBERED = 300_000
 #: Bytes of text whose parts are encoded together.
 TOGETHER = 1 << 20
-NONE = np.int64(2**62)
+NONE = np.int32(2**31 - 1)
 #: Odd factor of the hash tables; the next table takes its next power.
 MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -52,7 +52,7 @@ class Pieces:
         ids = {names[i]: i for i in range(n) if not special[i]}
         self.byte_ids = np.array([lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)], np.int64)
         score = np.array([lib.get_score(i) for i in range(n)])
-        order = np.unique(-score, return_inverse=True)[1].astype(np.int64)  # equal scores share a rank
+        order = np.unique(-score, return_inverse=True)[1].astype(np.int32)  # equal scores share a rank
         # Characters without a piece of their own get numbers after the vocabulary.
         self.chars: dict[str, int] = {p: i for p, i in ids.items() if len(p) == 1}
         self.n = n
@@ -77,7 +77,7 @@ class Pieces:
         self.other = self.width - 1  # any character that no piece has
         key = np.array(lefts, np.int64) * self.width + np.array(rights, np.int64)
         sort = np.argsort(key)
-        self.keys, self.to = key[sort], np.array(merged, np.int64)[sort]
+        self.keys, self.to = key[sort], np.array(merged, np.int32)[sort]
         self.rank = order
         self._hash()
         # The best rank of any merge that a symbol can be part of.
@@ -119,7 +119,7 @@ class Pieces:
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The piece that each pair merges to and its rank; rank NONE where there is none."""
-        key = left * self.width + right
+        key = left.astype(np.int64) * self.width + right
         at = np.full(len(key), -1, np.int32)
         open_ = np.arange(len(key))
         for factor, table in self.tables:  # an empty place ends the search
@@ -137,22 +137,23 @@ class Pieces:
         """All ids of the parts that the characters belong to, and how many each part has."""
         points = np.frombuffer(chars.encode("utf-32-le"), np.uint32)
         kinds, back = np.unique(points, return_inverse=True)
-        symbols = np.array([self.chars.get(chr(c), self.other) for c in kinds], np.int64)[back]
-        first = np.arange(len(points))  # the character a symbol starts with
+        symbols = np.array([self.chars.get(chr(c), self.other) for c in kinds], np.int32)[back]
+        owner = owner.astype(np.int32)
+        first = np.arange(len(points), dtype=np.int32)  # the character a symbol starts with
         done_symbols, done_owner, done_first = [], [], []
         apart = np.flatnonzero(np.diff(owner))  # pairs across two words
         to, rank = self._pairs(symbols[:-1], symbols[1:])
         rank[apart] = NONE
-        to, rank = np.append(to, 0), np.append(rank, NONE)
+        to, rank = np.append(to, np.int32(0)), np.append(rank, NONE)
         while len(symbols):
             starts = np.flatnonzero(np.diff(owner, prepend=-1))
             best = np.minimum.reduceat(rank, starts)
             length = np.diff(np.append(starts, len(owner)))
             best_of = np.repeat(best, length)
             if (best == NONE).any():  # finished words leave
-                over = best_of == NONE
+                over = np.flatnonzero(best_of == NONE)
                 done_symbols.append(symbols[over]), done_owner.append(owner[over]), done_first.append(first[over])
-                stay = ~over
+                stay = np.flatnonzero(best_of != NONE)
                 symbols, owner, first, best_of, to, rank = (x[stay] for x in (symbols, owner, first, best_of, to, rank))
                 if not len(symbols):
                     break
@@ -167,6 +168,7 @@ class Pieces:
             symbols[hits] = to[hits]
             stay = np.ones(len(symbols), bool)
             stay[hits + 1] = False
+            stay = np.flatnonzero(stay)
             symbols, owner, first, to, rank = (x[stay] for x in (symbols, owner, first, to, rank))
             # Only pairs at the new symbols have changed.
             at = hits - np.arange(len(hits))
@@ -177,8 +179,10 @@ class Pieces:
         if not done_symbols:
             return np.zeros(0, np.int64), np.zeros(n_parts, np.int64)
         symbols, owner, first = (np.concatenate(x) for x in (done_symbols, done_owner, done_first))
-        order = np.argsort(first, kind="stable")
-        return self._fall_back(symbols[order], owner[order], points[first[order]], n_parts)
+        placed, owners = np.full(len(points), -1), np.empty(len(points), np.int64)  # in the order of their first characters
+        placed[first], owners[first] = symbols, owner
+        first = np.flatnonzero(placed >= 0)
+        return self._fall_back(placed[first], owners[first], points[first], n_parts)
 
     def _fall_back(self, symbols, owner, points, n_parts):
         """Symbols without an id become the ids of their UTF-8 bytes."""

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -261,6 +262,50 @@ def test_attention_looks_back_only():
     assert np.allclose(lm_score.forward(p, x)[6][0, :20], lm_score.forward(p, y)[6][0, :20])
 
 
+def test_later_windows_are_asked_for_their_new_places_only(model, monkeypatch):
+    """Every id has the probability that its whole window gives it; no more is worked out than the places of new ids."""
+    tool, rng = sentence_pieces.load(model), np.random.default_rng(5)
+    compact = np.zeros(tool.n, np.int64)
+    compact[np.r_[lm_score.BEGIN, lm_score.END, 400:430]] = np.arange(1, 33)
+    scorer = lm_score.Scorer(lm_score.initial(rng.integers(1, 9, 33)), compact, model)
+    sizes = np.array([1, lm_score.WINDOW, lm_score.WINDOW + 1, 3000, 7])
+    ids = rng.integers(390, 430, sizes.sum())  # some without a number
+    ids[np.cumsum(sizes) - 1] = lm_score.END
+    forward, places = lm_score.forward, []
+
+    def counted(*args, **kinds):
+        made = forward(*args, **kinds)
+        places.append(made[6].shape[0] * made[6].shape[1])
+        return made
+
+    with monkeypatch.context() as patch:
+        patch.setattr(lm_score, "forward", counted)
+        logs, opens = scorer.ids_logs(ids, sizes)
+    back = lm_score.WINDOW - lm_score.STRIDE
+    assert sum(places) <= sum(max(n + lm_score.STRIDE, lm_score.WINDOW) for n in sizes.tolist())
+    for text, at in zip(np.split(ids, np.cumsum(sizes)[:-1]), (np.cumsum(sizes) - sizes).tolist(), strict=True):
+        inputs = compact[np.append(lm_score.BEGIN, text)]
+        for i in range(len(text)):
+            base = max(0, (i - back) // lm_score.STRIDE * lm_score.STRIDE) if i >= lm_score.WINDOW else 0
+            g = forward(scorer.p, inputs[None, np.minimum(np.arange(base, base + lm_score.WINDOW), len(text))])[6][0, i - base]
+            assert g.sum() == pytest.approx(1, rel=1e-5)
+            assert logs[at + i] == pytest.approx(np.log(g @ scorer.experts[compact[text[i]]]), rel=1e-4)
+            assert opens[at + i] == pytest.approx(np.log(g @ scorer.experts[compact[scorer.opens]].sum(axis=0)), rel=1e-4, abs=1e-5)
+
+
+def test_windows_tell_the_counts_of_their_targets(model):
+    """Ids are counted where windows are made: the table of windows is not read once more for it."""
+    texts = ["", "a b a", "  odd \u2581 words " * 40, prose(random.Random(6), 900)]
+    w = lm_score.Words(np.array([len(t.encode()) for t in texts], np.int64).tobytes(), zstandard.compress("".join(texts).encode()))
+    pieces, k = sentence_pieces.load(model).encode_spans(*w.spoken())
+    cells = {c: pa.array([lm_score.small(x)]) for c, x in zip(lm_score.CODED[1:], (np.diff(w.first), w.back, k, pieces), strict=True)}
+    for ids in ([0, 1, 2, 3], [i for i in range(99) if is_held_out(i, 7)][: len(texts)]):
+        (row,) = lm_score._windows([pa.RecordBatch.from_pydict({"ids": pa.array([ids]), **cells})])
+        targets = np.frombuffer(row["windows"][0].as_py(), np.int32).reshape(-1, lm_score.WINDOW + 1)[:, 1:]
+        seen, times = (lm_score.large(row[c][0].as_py()) for c in ("seen", "times"))
+        assert dict(zip(seen.tolist(), times.tolist(), strict=True)) == dict(Counter(targets[targets >= 0].tolist()))
+
+
 def test_scores_of_a_table(spark, model):
     texts = [*some_texts(2, 60), *[prose(random.Random(i), 90, 40) for i in range(60)]]
     df = docs_table(spark, texts)
