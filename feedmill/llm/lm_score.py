@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -196,14 +197,17 @@ def _windows(batches):
     for batch in batches:
         for ids, *coded in zip(*(batch[c].to_pylist() for c in CODED), strict=True):
             found, k = Coded(*coded).flow(~_held_out(ids))
-            stops = np.cumsum(k + 2)
-            starts = stops - k - 2
-            flow = np.empty(int((k + 2).sum()), np.int32)
-            flow[starts], flow[stops - 1], flow[flat.ranges(starts + 1, k)] = BEGIN, END, found
             n = k // WINDOW + 1
-            base = np.repeat(starts, n) + flat.ranges(np.zeros_like(n), n) * WINDOW
-            at = base[:, None] + np.arange(WINDOW + 1)
-            rows = np.where(at < np.repeat(stops, n)[:, None], flow[np.minimum(at, len(flow) - 1)], -1).astype(np.int32) if len(k) else at
+            last = np.cumsum(n) - 1
+            starts, ends = (last - n + 1) * WINDOW, (last - n + 1) * WINDOW + k + 1
+            flow = np.full(int(n.sum()) * WINDOW, -1, np.int32)
+            flow[starts], flow[flat.ranges(starts + 1, k)] = BEGIN, found
+            over = ends == (last + 1) * WINDOW  # the end is a target of the last window, in the column after its ids
+            flow[ends[~over]] = END
+            rows = np.empty((int(n.sum()), WINDOW + 1), np.int32)
+            rows[:, :WINDOW] = flow.reshape(-1, WINDOW)
+            rows[:-1, WINDOW] = rows[1:, 0]
+            rows[last, WINDOW] = np.where(over, END, -1)
             times = np.bincount(np.append(found, np.repeat(END, len(k))))
             seen = np.flatnonzero(times)
             cells = {"windows": rows.tobytes(), "seen": small(seen), "times": small(times[seen])}
@@ -292,6 +296,12 @@ def forward(p: dict, x: np.ndarray, skip: int = 0, shares: bool = True) -> tuple
     return e, turned, q, a, total, u, g
 
 
+@lru_cache(maxsize=2)
+def _pairs(n_ids: int, width: int) -> np.ndarray:
+    """The places of the pairs of numbers of each row."""
+    return np.arange(n_ids * width // 2).reshape(n_ids, -1)
+
+
 def gradients(p: dict, experts: np.ndarray, rows: np.ndarray) -> dict[str, np.ndarray]:
     """Mean gradient of the log loss over the ids that are there; `experts`: each expert's share of each id."""
     x, y = np.maximum(rows[:, :-1], 0), np.maximum(rows[:, 1:], 0)
@@ -337,7 +347,7 @@ def gradients(p: dict, experts: np.ndarray, rows: np.ndarray) -> dict[str, np.nd
 
     # A row of ids takes its numbers two by two, as parts of a complex one: half as many places.
     pair = np.result_type(kind, np.complex64)
-    places = np.arange(n_ids * WIDTH // 2).reshape(n_ids, -1), np.arange(n_ids * EXPERTS // 2).reshape(n_ids, -1)
+    places = _pairs(n_ids, WIDTH), _pairs(n_ids, EXPERTS)
     sums["place"], sums["embed"] = by_x.sum(axis=0), np.zeros((n_ids, WIDTH), kind)
     sums["experts"] = experts * (np.ones(y.size, kind) @ by_y.reshape(-1, EXPERTS))
     np.add.at(sums["embed"].reshape(-1).view(pair), np.take(places[0], x, axis=0).ravel(), by_x.reshape(-1).view(pair))
@@ -382,13 +392,14 @@ def train(vector: np.ndarray, pools: Iterable[np.ndarray], n_ids: int, seed: int
 def _pools(batches, compact: np.ndarray, round_: int) -> Iterator[np.ndarray]:
     """A round's windows of a partition, every window in one of the rounds, in arrays of `POOL` about."""
     parts, held, seen = [], 0, 0
+    number = np.append(compact, -1).astype(np.int32)  # no id, -1, is the last one and stays
     for batch in batches:
         for i in range(batch.num_rows):
             rows = np.frombuffer(batch["windows"][i].as_py(), np.int32).reshape(-1, WINDOW + 1)
             mine = rows[(round_ - seen) % ROUNDS :: ROUNDS]
             seen += len(rows)
             if len(mine):
-                parts.append(np.where(mine < 0, -1, compact[mine]).astype(np.int32))
+                parts.append(number[mine])
                 held += len(mine)
             if held >= POOL:
                 yield np.concatenate(parts)
